@@ -72,8 +72,8 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def fold(key: str, n: int):
-    """crc32 of the id as text, modulo n."""
-    return F.crc32(F.col(key).cast("string").cast("binary")) % n
+    """crc32 of the id as text, modulo n; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).cast("binary")) % n
 
 
 def plain(df: DataFrame, *columns: str) -> DataFrame:

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, repetition
+from . import jaccard_join, language_id, mixing, packing, repetition
+from .common import fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,16 @@ def op1_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_coverage(_table(spark, sf_dir, "documents"))
 
 
+def op3_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 5) == 0
+    return language_id.identify_language(docs.withColumn("held_out", held_out), ~held_out, keep=("held_out",))
+
+
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -26,7 +37,7 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_repetition_coverage, op5_mix_sources, op6_pack]
+    found = [op1_repetition_coverage, op3_identify_language, op4_jaccard_join, op5_mix_sources, op6_pack]
     return {f.__name__: f for f in found}
 
 
