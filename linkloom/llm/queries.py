@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, language_id, mixing, packing, repetition
+from . import jaccard_join, language_id, mixing, packing, quality_mil, repetition, toxicity
 from .common import fold
+from .labelled import labelled_sample
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,12 @@ def op1_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_coverage(_table(spark, sf_dir, "documents"))
 
 
+def op2_quality_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = _table(spark, sf_dir, "documents"), fold("doc_id", 3) == 1
+    model = quality_mil.fit(labelled_sample(docs, _table(spark, sf_dir, "labels"), "quality", ~held_out))
+    return quality_mil.score_quality(docs.withColumn("held_out", held_out), model, keep=("held_out",))
+
+
 def op3_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held_out = fold("doc_id", 5) == 0
@@ -36,8 +43,15 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity_deobfuscated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = _table(spark, sf_dir, "documents"), fold("doc_id", 3) == 1
+    sample = labelled_sample(docs, _table(spark, sf_dir, "labels"), "toxic", ~held_out)
+    model = toxicity.fit(sample, toxicity.language_model(docs))
+    return toxicity.score_toxicity(docs.withColumn("held_out", held_out), model, keep=("held_out",))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_repetition_coverage, op3_identify_language, op4_jaccard_join, op5_mix_sources, op6_pack]
+    found = [op1_repetition_coverage, op2_quality_attention, op3_identify_language, op4_jaccard_join, op5_mix_sources, op6_pack, op9_toxicity_deobfuscated]
     return {f.__name__: f for f in found}
 
 
