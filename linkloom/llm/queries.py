@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import jaccard_join, language_id, mixing, packing, quality_mil, repetition, toxicity
+from . import ann, html_text, jaccard_join, language_id, mixing, packing, pii, quality_mil, repetition, toxicity
 from .common import fold
 from .labelled import labelled_sample
 
@@ -43,6 +44,14 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op7_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(_table(spark, sf_dir, "documents"))
+
+
+def op8_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op9_toxicity_deobfuscated(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = _table(spark, sf_dir, "documents"), fold("doc_id", 3) == 1
     sample = labelled_sample(docs, _table(spark, sf_dir, "labels"), "toxic", ~held_out)
@@ -50,8 +59,12 @@ def op9_toxicity_deobfuscated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs.withColumn("held_out", held_out), model, keep=("held_out",))
 
 
+def op10_stable_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_repetition_coverage, op2_quality_attention, op3_identify_language, op4_jaccard_join, op5_mix_sources, op6_pack, op9_toxicity_deobfuscated]
+    found = [op1_repetition_coverage, op2_quality_attention, op3_identify_language, op4_jaccard_join, op5_mix_sources, op6_pack, op7_sanitise, op8_line_blocks, op9_toxicity_deobfuscated, op10_stable_projections]
     return {f.__name__: f for f in found}
 
 
