@@ -30,8 +30,6 @@ PLACES = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"
 #: Code points of a window on either side; least distinct windows of a term with an entity; shares of an entity's bits
 #: from which a term is generalised or removed; least bits.
 REACH, SUPPORT, GENERALISE, REMOVE, LEAST_BITS = 48, 3, 0.92, 0.97, 8.0
-#: Entity-term pairs up to which their terms are broadcast when occurrences are counted; beyond, a shuffled join does it.
-FEW_PAIRS = 20_000
 _TERM = r"\p{L}[\p{L}\p{M}\p{N}'’-]{2,}+"
 
 
@@ -113,12 +111,10 @@ def revealing_terms(docs: DataFrame, windows: DataFrame, mentions: DataFrame, su
     """
     joint = windows.groupBy("entity", "term", "window").agg(F.count(F.lit(1)).alias("n"))
     joint = cut(joint.groupBy("entity", "term").agg(F.sum("n").alias("together"), F.count(F.lit(1)).alias("windows")).filter(F.col("windows") >= support))
-    pairs = joint.count()
-    if not pairs:
+    if joint.isEmpty():
         return None
-    terms = joint.select("term").distinct()
+    # Counted before they are joined: a task sends each of its terms once.
     words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0))).alias("term"))
-    words = words.join(F.broadcast(terms) if pairs <= FEW_PAIRS else terms, "term", "left_semi")
     times = words.groupBy("term").agg(F.count(F.lit(1)).alias("times"))
     total = docs.agg(F.sum(F.regexp_count("text", F.lit(WORD))).cast("double")).first()[0] or 1.0
     rows = joint.join(times, "term").join(mentions, "entity")
@@ -130,27 +126,40 @@ def revealing_terms(docs: DataFrame, windows: DataFrame, mentions: DataFrame, su
     return rows.select("entity", "term", F.when(share >= remove, "remove").otherwise("generalise").alias("action"))
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE, least_bits: float = LEAST_BITS) -> DataFrame:
-    """One row per row of ``docs``: its columns as the struct ``row``, text, base and spans (arrays of start, rank, end, kind, value).
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE, least_bits: float = LEAST_BITS) -> tuple[DataFrame, DataFrame | None]:
+    """The base spans of all rows, and the further spans of terms.
 
-    Null and empty texts have no spans. Repeated rows have equal spans. Spans of terms have the kind "term", rank 4 and
-    the action as value; a term that several entities share is removed if one of them asks for it.
+    The first result has the columns of ``docs`` as the struct ``row``, id, text and base: an array of (start, rank, end,
+    kind, value). The second has of, print and more (spans of kind "term", rank 4, the action as value) per text with such
+    terms, or is None. A term that several entities share is removed if one of them asks for it. Null and empty texts have
+    no spans; repeated rows have equal spans.
     """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("base", base_spans(F.col("text")))
-    held = cut(rows.filter(F.col("text").rlike("[0-9@]")).select("id", F.xxhash64("text").alias("print"), "text", "base").filter(F.size("base") > 0))
+    held = cut(rows.filter(F.col("text").rlike("[0-9@]")).withColumn("base", base_spans(F.col("text"))).select("id", _print(), "text", "base").filter(F.size("base") > 0))
     windows = cut(_windows(held))
     value = F.when(F.col("e.kind").isin("card", "phone"), _digits(F.col("e.value"))).otherwise(F.lower("e.value"))
     mentions = held.select(F.explode("base").alias("e")).groupBy(F.concat_ws(":", "e.kind", value).alias("entity")).agg(F.count(F.lit(1)).alias("mentions"))
     terms = revealing_terms(rows.select("text"), windows, mentions, support, generalise, remove, least_bits)
+    rows = rows.withColumn("base", base_spans(F.col("text")))
     if terms is None:
-        return rows.withColumn("spans", F.col("base"))
+        return rows, None
     more = windows.join(terms, ["entity", "term"]).groupBy("id", "print", "start", "end").agg(F.max("action").alias("action"))
     span = F.struct(F.col("start").alias("start"), F.lit(len(KINDS)).alias("rank"), F.col("end").alias("end"), F.lit("term").alias("kind"), F.col("action").alias("value"))
-    more = more.groupBy(F.col("id").alias("of"), "print").agg(F.collect_set(span).alias("more"))  # spans of one text
-    rows = rows.join(more, F.col("id").eqNullSafe(F.col("of")) & (F.when(F.size("base") > 0, F.xxhash64("text")) == F.col("print")), "left")
-    spans = F.when(F.col("more").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "more")))
-    return rows.select("row", "id", "text", "base", spans.alias("spans"))
+    return rows, cut(more.groupBy(F.col("id").alias("of"), "print").agg(F.collect_set(span).alias("more")))  # spans of one text
+
+
+def _print() -> Column:
+    """A digest of the text: with the id it names a row, up to equal rows."""
+    return F.xxhash64("text").alias("print")
+
+
+def _with_terms(rows: DataFrame, more: DataFrame | None) -> DataFrame:
+    """Rows with id, print and base: adds ``spans``, by start, then kind."""
+    if more is None:
+        return rows.withColumn("spans", F.col("base"))
+    columns = rows.columns
+    rows = rows.join(more.withColumnRenamed("print", "of_print"), F.col("id").eqNullSafe(F.col("of")) & (F.col("print") == F.col("of_print")), "left")
+    return rows.select(*columns, F.when(F.col("more").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "more"))).alias("spans"))
 
 
 def _is(kind: str):
@@ -159,14 +168,19 @@ def _is(kind: str):
 
 def pii_report(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """Counts per kind, the digest of the base spans, and all spans as text."""
-    found = find_pii(docs, id_col=id_col, **options)
+    found, more = find_pii(docs, id_col=id_col, **options)
+    found = _with_terms(found.select("id", _print(), "base"), more)  # texts stay where they are
     counts = [F.size(F.filter("base", _is(k))).cast("long").alias(f"n_{k}") for k in KINDS]
     return found.select(F.col("id").alias(id_col), *counts, F.sha2(_written(F.col("base")).cast("binary"), 256).alias("base_sha256"), _written(F.col("spans")).alias("spans"))
 
 
 def sanitise(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` with every span replaced by its kind's name; n_chars is counted anew. Null texts stay null."""
-    found = find_pii(docs, text_col=text_col, **options)
+    found, more = find_pii(docs, text_col=text_col, **options)
+    found = found.withColumn("print", _print())
+    some = F.size("base") > 0
+    # Only texts with spans move; terms stand in no others.
+    found = found.filter(~some).withColumn("spans", F.col("base")).unionByName(_with_terms(found.filter(some), more))
     name = lambda s: F.coalesce(*[F.when((s["kind"] == k) | (s["value"] == k), F.lit(p)) for k, p in PLACES.items()], F.lit(""))
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     step = lambda a, s: F.struct(
