@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import reachable
 
@@ -108,8 +109,8 @@ class Parser:
                 c = pieces[t, :n]
                 to = table[state[:n] + c]
                 ends = to == 0
-                if t:
-                    count[:n] += ends
+                if t:  # a letter that the sample hasn't leaves the start state, and is a phrase of its own
+                    count[:n] += ends | (state[:n] == 0)
                 np.copyto(to, root[c], where=ends)
                 state[:n] = to
         return out
@@ -204,7 +205,7 @@ def identify_language(docs: DataFrame, train: Column, text_col: str = "text", la
                 pred = [parser.languages[k] if n else UNKNOWN for k, n in zip(best, chars, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=[*[f"c{k}" for k in range(len(columns))], "lang_pred", "score"])
 
-    kinds = [docs.schema[c].dataType.simpleString() for c in columns]
+    kinds = [T.StructField(f"c{k}", docs.schema[c].dataType) for k, c in enumerate(columns)]
     rows = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(columns)], F.col(f"`{text_col}`").cast("string").alias("text"))
-    out = reachable(rows).mapInArrow(run, ", ".join([*[f"c{k} {kind}" for k, kind in enumerate(kinds)], "lang_pred string", "score double"]))
+    out = reachable(rows).mapInArrow(run, T.StructType([*kinds, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
     return out.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(columns)], "lang_pred", "score")

@@ -89,19 +89,20 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     A part is the text up to the end of its last word taken, white space kept. n_chars is counted anew. Returns the columns of ``docs``.
     """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    columns = docs.columns
     taken = mix_sources(docs, **options).groupBy(F.col(f"`{id_col}`").alias("taken_id"), F.col("size").alias("taken_size")).agg(F.sum("taken").alias("taken"), F.count(F.lit(1)).alias("alike"))
-    rows = docs.withColumn("own_size", n_words(F.col(f"`{text_col}`")))
-    rows = rows.join(taken, F.col(f"`{id_col}`").eqNullSafe(F.col("taken_id")) & (F.col("own_size") == F.col("taken_size")))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), n_words(F.col(f"`{text_col}`")).alias("size"))
+    rows = rows.join(taken, F.col("id").eqNullSafe(F.col("taken_id")) & (F.col("size") == F.col("taken_size")))
     # Rows that share id and size share what was taken from them; each gets an even part, and the first words of it.
-    each = F.floor(F.col("taken") / F.col("alike"))
-    times = F.when(F.col("own_size") > 0, F.floor(each / F.col("own_size"))).otherwise(F.lit(0)).cast("int")
-    part = F.when(F.col("own_size") > 0, each - times * F.col("own_size")).otherwise(F.lit(0)).cast("int")
-    copies = F.when(times > 0, F.array_repeat(F.lit(-1), times)).otherwise(F.array().cast("array<int>"))
-    copies = F.concat(copies, F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
+    each, none = F.floor(F.col("taken") / F.col("alike")), F.array().cast("array<int>")
+    times = F.when(F.col("size") > 0, F.floor(each / F.col("size"))).otherwise(F.lit(0)).cast("int")
+    part = F.when(F.col("size") > 0, each - times * F.col("size")).otherwise(F.lit(0)).cast("int")
+    copies = F.concat(F.when(times > 0, F.array_repeat(F.lit(-1), times)).otherwise(none), F.when(part > 0, F.array(part)).otherwise(none))
     rows = rows.withColumn("copy", F.explode(copies))
-    pieces = F.regexp_extract_all(F.col(f"`{text_col}`"), F.lit("[\\x20\\x09-\\x0D]*+" + WORD + "+"), F.lit(0))
-    text = F.when(F.col("copy") < 0, F.col(f"`{text_col}`")).otherwise(F.array_join(F.slice(pieces, 1, F.greatest(F.col("copy"), F.lit(1))), ""))
-    rows = rows.withColumn("mixed_text", text)
-    values = {text_col: F.col("mixed_text"), "n_chars": F.char_length("mixed_text").cast(docs.schema["n_chars"].dataType) if "n_chars" in columns else None}
-    return rows.select(*[(values[c] if values.get(c) is not None else F.col(f"`{c}`")).alias(c) for c in columns])
+    pieces = F.regexp_extract_all(F.col("text"), F.lit("[\\x20\\x09-\\x0D]*+" + WORD + "+"), F.lit(0))
+    text = F.when(F.col("copy") < 0, F.col("text")).otherwise(F.array_join(F.slice(pieces, 1, F.greatest(F.col("copy"), F.lit(1))), ""))
+    rows = rows.withColumn("mixed", text)
+    columns = {c: F.col(f"row.`{c}`") for c in docs.columns} | {text_col: F.col("mixed")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.char_length("mixed").cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[v.alias(c) for c, v in columns.items()])
