@@ -72,13 +72,17 @@ def partial(a: str, b: str) -> float:
     return best
 
 
-def fuzzy_ratios(a, b):
-    """ratio, token_sort, token_set and partial of two columns, as a struct."""
+_RATIOS = {"ratio": ratio, "token_sort": token_sort, "token_set": token_set, "partial": partial}
 
-    @F.pandas_udf("ratio double, token_sort double, token_set double, partial double")
+
+def fuzzy_ratios(a, b, *which: str):
+    """Similarities of two columns, as a struct: those named, or all of ratio, token_sort, token_set and partial."""
+    names = list(which or _RATIOS)
+
+    @F.pandas_udf(", ".join(f"{n} double" for n in names))
     def of(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-        rows = [(ratio(x, y), token_sort(x, y), token_set(x, y), partial(x, y)) for x, y in zip(a.fillna(""), b.fillna(""), strict=True)]
-        return pd.DataFrame(rows, columns=["ratio", "token_sort", "token_set", "partial"])
+        both = list(zip(a.fillna(""), b.fillna(""), strict=True))
+        return pd.DataFrame({n: [_RATIOS[n](x, y) for x, y in both] for n in names}, dtype="float64")
 
     return of(a, b)
 
@@ -112,8 +116,9 @@ def wide_features(pairs: DataFrame, targets: DataFrame, references: DataFrame) -
     r = references.select(F.col("entity_id").alias("rid"), *[F.col(c).alias(f"r_{c}") for c in views])
     df = pairs.join(t, "target_id").join(r, "rid")
     c, both = F.col, (lambda v: (F.col(f"t_{v}"), F.col(f"r_{v}")))
-    for v in views:
-        df = df.withColumn(f"f_{v}", fuzzy_ratios(*both(v)))
+    wanted = {"raw_name": ["ratio"], "name": [], "roman_name": ["ratio", "token_set"], "address": ["ratio", "token_sort", "token_set"], "roman_address": ["ratio"]}
+    for v, which in wanted.items():
+        df = df.withColumn(f"f_{v}", fuzzy_ratios(*both(v), *which))
     grams = {v: _overlap(*[T.trigrams(x) for x in both(v)]) for v in ("name", "address", "roman_name", "roman_address")}
     words = {v: _overlap(*[F.array_distinct(T.tokens(x)) for x in both(v)]) for v in ("name", "address")}
     nums = [F.regexp_extract_all(x, F.lit("(?U)(\\d+)"), F.lit(1)) for x in both("raw_address")]

@@ -399,7 +399,9 @@ def gbt_fit_score(spark, sf):
 @query
 def crossfit_oof(spark, sf):
     pairs = truth.labelled(_features(spark, sf, False)[2], _edges(spark, sf))
-    pairs = pairs.withColumns({"fold": folds.md5_bucket(F.col("target_id"), 3), "rid_fold": folds.md5_bucket(F.col("source1_id"), 3)}).persist()
+    pairs = pairs.withColumn("rid_fold", folds.md5_bucket(F.col("source1_id"), 3))
+    # A matched target has its owner's fold.
+    pairs = pairs.withColumn("fold", F.when(F.col("label") == 1, F.col("rid_fold")).otherwise(folds.md5_bucket(F.col("target_id"), 3))).persist()
     return model.cross_fit(pairs, features.BASE_FEATURES, 3, **FEW_TREES)[0].select("source1_id", "target_id", "label", "probability")
 
 
