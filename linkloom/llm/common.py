@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 #: Java pattern of a word: a run of anything but ASCII white space.
 WORD = "[^\\x20\\x09-\\x0D]+"
 #: Bytes of text that one numpy block holds, unless a single text is longer.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -45,6 +46,27 @@ def reachable(df: DataFrame) -> DataFrame:
     return df
 
 
+def release() -> None:
+    """Give memory that a task no longer needs back to the system: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    """mapInArrow with a function of batches; what a task held is given back when it ends."""
+
+    def released(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return reachable(df).mapInArrow(released, schema)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import reachable
+from .common import map_arrow
 
 #: Lines of a window; characters in a window at which the text surges.
 WINDOW, SURGE = 3, 120
@@ -164,5 +164,5 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
     kind = pages.schema[id_col].dataType.simpleString()
     rows = pages.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{url_col}`").cast("string").alias("url"), F.col(f"`{html_col}`").cast("string").alias("html"))
-    out = reachable(rows).mapInArrow(run, f"id {kind}, url string, text string")
+    out = map_arrow(rows, run, f"id {kind}, url string, text string")
     return out.select(F.col("id").alias(id_col), F.col("url").alias(url_col), "text", F.char_length("text").cast("long").alias("n_chars"))

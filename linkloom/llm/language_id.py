@@ -15,12 +15,11 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import reachable
+from .common import reachable, release
 
 #: Of the sample: documents and characters a language, characters of all languages, and languages (the commonest).
 DOCS_PER_LANGUAGE, CHARS_PER_LANGUAGE, CHARS, LANGUAGES = 48, 30_000, 240_000, 64
@@ -147,16 +146,6 @@ class Parser:
         return total, chars
 
 
-_parsers: dict[tuple, Parser] = {}
-
-
-def parser_of(samples: tuple[tuple[str, str], ...]) -> Parser:
-    if samples not in _parsers:
-        _parsers.clear()
-        _parsers[samples] = Parser(dict(samples))
-    return _parsers[samples]
-
-
 def language_samples(docs: DataFrame, train: Column, text_col: str, lang_col: str, id_col: str) -> tuple[tuple[str, str], ...]:
     """A bounded sample of labelled text per language, by a hash of the id; documents of common lengths first."""
     text, lang = F.col(f"`{text_col}`").cast("string"), F.col(f"`{lang_col}`").cast("string")
@@ -186,26 +175,28 @@ def identify_language(docs: DataFrame, train: Column, text_col: str = "text", la
     has no letter gets ``und`` and 0, as does every text if no row is labelled. Ties go to the first language by name.
     """
     samples = language_samples(docs, train, text_col, lang_col, id_col)
-    columns = [id_col, *keep]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parser = parser_of(samples) if samples else None
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            pred, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            if parser and texts:
-                phrases, chars = parser.parse(texts)
-                bits = phrases * parser.bits
-                best = np.argmin(bits, axis=1)
-                ranked = np.sort(bits, axis=1)
-                second = ranked[:, 1] if ranked.shape[1] > 1 else np.full(len(texts), np.inf)
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    saved = np.where(np.isinf(second), 1.0, (second - ranked[:, 0]) / second)
-                score = np.where(chars > 0, np.clip(saved, 0, 1), 0.0)
-                pred = [parser.languages[k] if n else UNKNOWN for k, n in zip(best, chars, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=[*[f"c{k}" for k in range(len(columns))], "lang_pred", "score"])
-
-    kinds = [T.StructField(f"c{k}", docs.schema[c].dataType) for k, c in enumerate(columns)]
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(columns)], F.col(f"`{text_col}`").cast("string").alias("text"))
-    out = reachable(rows).mapInArrow(run, T.StructType([*kinds, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
-    return out.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(columns)], "lang_pred", "score")
+
+    def parsed(parser: Parser | None, column: pd.Series) -> pd.DataFrame:
+        texts = [t if isinstance(t, str) else None for t in column]
+        if parser is None or not texts:
+            return pd.DataFrame({"lang_pred": [UNKNOWN] * len(texts), "score": [0.0] * len(texts)})
+        phrases, chars = parser.parse(texts)
+        bits = phrases * parser.bits
+        ranked = np.sort(bits, axis=1)
+        second = ranked[:, 1] if ranked.shape[1] > 1 else np.full(len(texts), np.inf)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            saved = np.where(np.isinf(second), 1.0, (second - ranked[:, 0]) / second)
+        best = [parser.languages[k] if n else UNKNOWN for k, n in zip(np.argmin(bits, axis=1), chars, strict=True)]
+        return pd.DataFrame({"lang_pred": best, "score": np.where(chars > 0, np.clip(saved, 0, 1), 0.0)})
+
+    @F.pandas_udf("lang_pred string, score double")
+    def predict(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        parser = Parser(dict(samples)) if samples else None  # once a task, which holds its tables no longer than it runs
+        for column in columns:
+            yield parsed(parser, column)
+        del parser
+        release()
+
+    # Only texts go to Python; all other columns stay in Spark.
+    rows = reachable(docs).select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate([id_col, *keep])], predict(F.col(f"`{text_col}`").cast("string")).alias("x"))
+    return rows.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate([id_col, *keep])], "x.lang_pred", "x.score")

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import reachable
+from .common import map_arrow
 
 WINDOW, END_ID = 2048, 1
 #: Pieces that are packed together.
@@ -166,5 +166,5 @@ def pack(
 
     kind = docs.schema[id_col].dataType.simpleString()
     docs = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    out = reachable(docs).mapInArrow(run, f"id {kind}, " + ", ".join(f"`{c}` long" for c in names[1:]))
+    out = map_arrow(docs, run, f"id {kind}, " + ", ".join(f"`{c}` long" for c in names[1:]))
     return out.withColumnRenamed("id", id_col)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Block, blocks, hashed, mixed, reachable
+from .common import Block, blocks, hashed, mixed, map_arrow
 
 #: Words of a passage; hashed word features; units of the encoder and of the attention; steps and rate of descent.
 PASSAGE, HASHES, UNITS, GATES, STEPS, RATE, SEED = 48, 16, 16, 8, 300, 0.02, 20
@@ -151,5 +151,5 @@ def score_quality(docs: DataFrame, model: Model, text_col: str = "text", id_col:
 
     kinds = [docs.schema[c].dataType.simpleString() for c in columns]
     rows = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(columns)], F.col(f"`{text_col}`").cast("string").alias("text"))
-    out = reachable(rows).mapInArrow(run, ", ".join([*[f"c{k} {kind}" for k, kind in enumerate(kinds)], "score double"]))
+    out = map_arrow(rows, run, ", ".join([*[f"c{k} {kind}" for k, kind in enumerate(kinds)], "score double"]))
     return out.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(columns)], "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

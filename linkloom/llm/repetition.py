@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Block, blocks, hashed, mixed, reachable, sums
+from .common import Block, blocks, hashed, mixed, map_arrow, sums
 
 #: Largest share of word characters inside duplicated n-grams, by n-gram length in words.
 COVERED = {5: 0.20, 6: 0.19, 7: 0.18, 8: 0.17, 9: 0.16, 10: 0.15}
@@ -127,7 +127,7 @@ def repetition_coverage(
 
     kind = docs.schema[id_col].dataType.simpleString()
     docs = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    out = reachable(docs).mapInArrow(run, f"id {kind}, " + ", ".join(f"{c} long" for c in counts))
+    out = map_arrow(docs, run, f"id {kind}, " + ", ".join(f"{c} long" for c in counts))
     failed = (F.col("n_words") < least_words) | (F.col("n_repeat_words") > F.lit(float(most_repeated)) * F.col("n_words"))
     over = F.col("dup_line_chars") > F.lit(float(covered_by_lines)) * F.col("word_chars")
     for n, share in limits.items():

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, hashed, reachable
+from .common import blocks, hashed, map_arrow
 
 #: Threshold of predicted; least documents of a word; weight against rare words; score from which a word counts.
 THRESHOLD, LEAST_DOCS, SHRINK, STRONG = 0.7, 2, 5.0, 1.5
@@ -96,7 +96,7 @@ def language_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(total[cells])], names=["cell", "n"])
 
     rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"))
-    got = reachable(rows).mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    got = map_arrow(rows, run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(CLASSES**3)
     counts[got.column(0).to_numpy()] = got.column(1).to_numpy()
     return smoothed(counts)
@@ -294,5 +294,5 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD,
 
     kinds = [docs.schema[c].dataType.simpleString() for c in columns]
     rows = docs.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(columns)], F.col(f"`{text_col}`").cast("string").alias("text"))
-    out = reachable(rows).mapInArrow(run, ", ".join([*[f"c{k} {kind}" for k, kind in enumerate(kinds)], "score double"]))
+    out = map_arrow(rows, run, ", ".join([*[f"c{k} {kind}" for k, kind in enumerate(kinds)], "score double"]))
     return out.select(*[F.col(f"c{k}").alias(c) for k, c in enumerate(columns)], "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
