@@ -20,7 +20,10 @@ def prepared(s1: DataFrame, s2: DataFrame, s3: DataFrame, config: Blocking, all_
 
 @dataclass
 class Linked:
-    """What a run returns. ``matches`` has a pair per row, the lists a row per query."""
+    """What a run returns. ``matches`` has a pair per row, the lists a row per query.
+
+    Pairs and matches are persisted, for several results come from them; ``spark.catalog.clearCache()`` lets them go.
+    """
 
     candidates: DataFrame
     matches: DataFrame
@@ -46,9 +49,9 @@ class Linked:
 def rule_linkage(s1: DataFrame, s2: DataFrame, s3: DataFrame, all_scripts: bool = False) -> Linked:
     """Composite blocks, then fixed rules, then one owner per target. Nothing is learned."""
     q, t = prepared(s1, s2, s3, COMPOSITE, all_scripts)
-    pairs = retrieval.candidates(q, t, COMPOSITE)
+    pairs = retrieval.candidates(q, t, COMPOSITE).persist()
     accepted = decisions.rule_matches(features.pair_features(pairs, q, t, composite=True))
-    return Linked(pairs, decisions.exclusive(accepted, "rule_score"), "rule_score", q)
+    return Linked(pairs, decisions.exclusive(accepted, "rule_score").persist(), "rule_score", q)
 
 
 def boosted_linkage(train: tuple[DataFrame, DataFrame, DataFrame], edges: DataFrame, test: tuple[DataFrame, DataFrame, DataFrame], composite: bool = False, smoke: bool = False, all_scripts: bool = False, **trees) -> Linked:
@@ -69,7 +72,7 @@ def boosted_linkage(train: tuple[DataFrame, DataFrame, DataFrame], edges: DataFr
 
     def part(split: str) -> tuple[DataFrame, DataFrame, DataFrame]:
         own = q.filter(F.col("split") == split)
-        return own, model.score(fitted, known.filter(F.col("split") == split), names), edges.join(own.select(F.col("entity_id").alias("source1_id")), "source1_id", "left_semi")
+        return own, model.score(fitted, known.filter(F.col("split") == split), names).persist(), edges.join(own.select(F.col("entity_id").alias("source1_id")), "source1_id", "left_semi")
 
     own, scored, links = part(held)
     point = evaluation.operating_point(evaluation.best_per_cap(evaluation.sweep(own, scored, links))).first().asDict()
@@ -81,8 +84,8 @@ def boosted_linkage(train: tuple[DataFrame, DataFrame, DataFrame], edges: DataFr
         metrics["audit"] = evaluation.fixed_score(*part("audit"), cap, limits).first().asDict()
     metrics["thresholds"] = limits
     tq, tt = prepared(*test, config, all_scripts)
-    found = retrieval.candidates(tq, tt, config)
-    scored = model.score(fitted, features.pair_features(found, tq, tt, composite), names).filter(F.col("candidate_rank") <= cap)
+    found = retrieval.candidates(tq, tt, config).persist()
+    scored = model.score(fitted, features.pair_features(found, tq, tt, composite), names).filter(F.col("candidate_rank") <= cap).persist()
     matches = decisions.over_thresholds(scored, limits)
     if composite:
         matches = decisions.exclusive(matches, "probability")
