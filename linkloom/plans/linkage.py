@@ -50,7 +50,9 @@ def rule_linkage(s1: DataFrame, s2: DataFrame, s3: DataFrame, all_scripts: bool
     """Composite blocks, then fixed rules, then one owner per target. Nothing is learned."""
     q, t = prepared(s1, s2, s3, COMPOSITE, all_scripts)
     pairs = retrieval.candidates(q, t, COMPOSITE).persist()
-    accepted = decisions.rule_matches(features.pair_features(pairs, q, t, composite=True))
+    # Rules over features that are still expressions would give the optimizer every combination of both as a constraint.
+    found = features.pair_features(pairs, q, t, composite=True).persist()
+    accepted = decisions.rule_matches(found).select(*features.PAIR, "rule_score")
     return Linked(pairs, decisions.exclusive(accepted, "rule_score").persist(), "rule_score", q)
 
 
