@@ -23,7 +23,7 @@ from .common import WORD, cut
 KINDS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"[0-9](?:[\x20-]?+[0-9])++",
+    "card": r"[0-9](?:[\x20-]?+[0-9]){11,}+",  # shorter runs of digits can't be cards: long texts may be full of them
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 PLACES = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "generalise": "[TERM]", "remove": ""}
