@@ -3,8 +3,8 @@
 Markup is stripped and the page becomes lines, one per block of text. A line's length is that of its text; lines inside
 page furniture (menus, adverts, forms and the like, by element or by name) and text of links have none. The lengths are
 summed over a sliding window of lines. Where the sum surges the main text begins, where it dives to nothing the text ends,
-and the lines between are kept. If the text so found lies in an article element, the element's own borders are taken for
-the surge and the dive, so that short lines at its ends stay.
+and the lines between are kept. If text so found lies in an article element, the element's own borders are taken for the
+surge and the dive, so that short lines at its ends stay. Elements choose nothing: text outside of them stays if it surges.
 """
 
 from __future__ import annotations
@@ -125,6 +125,7 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
     size = [x.length for x in lines]
     total = [sum(size[k : k + window]) for k in range(len(size))]
     keep = [False] * len(lines)
+    within: set[int] = set()  # articles that found text lies in
     k = 0
     while k < len(lines):
         if total[k] < surge:
@@ -135,17 +136,14 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
         dive = k
         while dive < len(lines) and total[dive] > 0:
             dive += 1
+        inside = {lines[j].article for j in range(k, dive) if size[j]}
+        if 0 not in inside:  # one article, or several side by side
+            within |= inside
         for j in range(k, dive):
             keep[j] = size[j] > 0
         k = dive + 1
-    found: dict[int, int] = {}
-    for x in lines:
-        if x.article and not x.furniture:
-            found[x.article] = found.get(x.article, 0) + x.length
-    if found:  # the article with the most text; its borders are the surge and the dive
-        article = max(found, key=lambda a: (found[a], -a))
-        keep = [x.article == article and not x.furniture for x in lines]
-    elif not any(keep):  # a page so short that nothing surges
+    keep = [kept or (x.article in within and not x.furniture) for x, kept in zip(lines, keep, strict=True)]
+    if not any(keep):  # a page so short that nothing surges
         keep = [n > 0 for n in size]
     return "\n\n".join(x.text for x, kept in zip(lines, keep, strict=True) if kept)
 

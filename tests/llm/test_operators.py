@@ -400,6 +400,20 @@ def test_main_text():
     assert html_text.main_text("&lt;b&gt; x") == "<b> x"
 
 
+def test_line_blocks_choose_the_text_and_articles_only_widen_it():
+    body = "A sentence that is long enough to count as running text in a page. " * 3
+    text, gap = body.strip(), "<nav>Menu</nav>" * 4
+    teaser = f"<div><p>{body}</p><p>{body}</p></div>{gap}<article><a href=x>Read on</a><p>More.</p></article>"
+    assert html_text.main_text(teaser) == f"{text}\n\n{text}"
+    parts = gap.join(f"<article><h2>Part {k}</h2><p>{body}</p><p><a href=x>link {k}</a></p></article>" for k in range(3))
+    assert html_text.main_text(parts) == "\n\n".join(f"Part {k}\n\n{text}\n\nlink {k}" for k in range(3))
+    close = "".join(f"<article><p><a href=x>link {k}</a></p><p>{body}</p></article>" for k in range(3))
+    assert html_text.main_text(close) == "\n\n".join(f"link {k}\n\n{text}" for k in range(3))
+    assert html_text.main_text(f"<div>{gap}<p>{body}</p>{gap}</div>") == text
+    far = f"<article><p><a href=x>First</a></p>{gap}<p>{body}</p>{gap}<p>Last.</p></article>{gap}<p>Outside.</p>"
+    assert html_text.main_text(far) == f"First\n\n{text}\n\nLast."
+
+
 def test_extract_text(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet").withColumn("id", F.lit("clash")).withColumn("text", F.lit("clash"))
     got = rows_of(html_text.extract_text(pages), "page_id")
