@@ -38,13 +38,22 @@ LONGEST = 64
 BEST, MARGIN = 4, 10.0
 
 _LETTER = r"[^\W\d_]"
-_HIDDEN = re.compile(
-    rf"(?<!\w)(?:{_LETTER}[ .\-_*|/]{{1,2}}){{2,}}{_LETTER}(?!\w)"  # letters set apart
-    rf"|(?<![^\s])[{re.escape('013457@$!')}]*{_LETTER}+[0-9@$!|+(*#%&]+{_LETTER}[^\s.,;:]*"  # a sign between letters
-    rf"|(?<![^\s])[{re.escape('013457@$!')}]+{_LETTER}{{2,}}[^\s.,;:]*"  # or before them
-    rf"|\w*?({_LETTER})\1\1+\w*"  # a letter three times
-)
-_SPREAD = re.compile(rf"^(?:{_LETTER}[ .\-_*|/]{{1,2}})+{_LETTER}$")
+_SIGNS = re.escape("".join(LOOKALIKE))
+_MARKS = " .-_*|/"  # between letters that are set apart
+_UNIT, _GAP = rf"(?:{_LETTER}|[0-9@$!+(#%&])", rf"[{re.escape(_MARKS)}]+"
+#: Letters or signs set apart; tokens of letters and signs, of which those with a sign or a doubled letter hide something.
+_SPACED = re.compile(rf"(?<!\w){_UNIT}(?:{_GAP}{_UNIT}){{2,}}(?!\w)")
+_TOKEN = re.compile(rf"(?:{_LETTER}|[{_SIGNS}])+")
+_TWICE = re.compile(rf"({_LETTER})\1", re.I)
+_SPREAD = re.compile(rf"^{_UNIT}(?:{_GAP}{_UNIT})+$")
+_PUNCTUATION = "".join(c for c in LOOKALIKE if not c.isdigit())
+
+
+def hides(token: str) -> bool:
+    """Whether a token has letters, and a sign among them or a letter twice in a row."""
+    if token.isalpha():
+        return bool(_TWICE.search(token))
+    return any(map(str.isalpha, token))
 
 
 def letter_class(c: str) -> int:
@@ -114,13 +123,34 @@ def smoothed(counts: np.ndarray) -> np.ndarray:
     return np.log((three + kinds * p2) / (three.sum(2, keepdims=True) + kinds))
 
 
-def decode(shown: str, lm: np.ndarray) -> list[str]:
-    """The likeliest words behind ``shown``, at most BEST and within MARGIN: Viterbi over states of the last two letters and the decisions on signs."""
-    spread = bool(_SPREAD.match(shown))
-    states: dict[tuple[int, int, str], tuple[float, str]] = {(0, 0, ""): (0.0, "")}
-    for c in shown.lower():
+def decode(shown: str, lm: np.ndarray, memo: dict | None = None) -> list[str]:
+    """The likeliest words behind ``shown``, at most BEST and within MARGIN: Viterbi over states of the last two letters and the decisions on signs.
+
+    Letters before the first sign or repeat leave one state, so what follows depends on the last two of them only; ``memo`` keeps that.
+    """
+    spread, lowered = bool(_SPREAD.match(shown)), shown.lower()
+    n = 0
+    while n < len(lowered) and lowered[n].isalpha() and (n == 0 or lowered[n] != lowered[n - 1]):
+        n += 1
+    a, b = ([0, 0] + [letter_class(c) for c in lowered[max(0, n - 2) : n]])[-2:]
+    key = (a, b, lowered[max(0, n - 1) : n], lowered[n:], spread)
+    ends = memo.get(key) if memo is not None else None
+    if ends is None:
+        ends = _ends(*key, lm)
+        if memo is not None:
+            if len(memo) > 200_000:
+                memo.clear()
+            memo[key] = ends
+    found = [(cost, lowered[:n] + text) for cost, text in ends]
+    return [text for cost, text in found if text and cost >= found[0][0] - MARGIN]
+
+
+def _ends(a: int, b: int, last: str, rest: str, spread: bool, lm: np.ndarray) -> list[tuple[float, str]]:
+    """What ``rest`` may stand for behind the letters of classes a and b, of which the second is ``last``: log probability and letters, best first."""
+    states: dict[tuple[int, int, str], tuple[float, str]] = {(a, b, ""): (0.0, last)}
+    for c in rest:
         letters = [(c, SAME)] if c.isalpha() else [(x, ALIKE) for x in LOOKALIKE.get(c, "")]
-        nothing = GAP if spread and not c.isalpha() else NOTHING if not c.isalpha() else None
+        nothing = None if c.isalpha() else GAP if spread and c in _MARKS else NOTHING
         after: dict[tuple[int, int, str], tuple[float, str]] = {}
 
         def offer(key, cost, text):
@@ -136,26 +166,50 @@ def decode(shown: str, lm: np.ndarray) -> list[str]:
             if nothing is not None:
                 offer((a, b, signs), cost + nothing, text)
         states = dict(sorted(after.items(), key=lambda s: -s[1][0])[:64]) or states
-    ends = sorted(((cost + lm[a, b, 0], text) for (a, b, _), (cost, text) in states.items()), reverse=True)[:BEST]
-    return [text for cost, text in ends if text and cost >= ends[0][0] - MARGIN]
+    ends = sorted(((float(cost + lm[a, b, 0]), text) for (a, b, _), (cost, text) in states.items()), reverse=True)[:BEST]
+    return [(cost, text[len(last) :]) for cost, text in ends]
 
 
 class Restorer:
     """Words restored from a text, each hidden place decoded once a worker."""
 
     def __init__(self, lm: np.ndarray):
-        self.lm, self.seen = lm, {}
+        self.lm, self.seen, self.memo = lm, {}, {}
+
+    def decoded(self, shown: str) -> list[str]:
+        # A longer place is decoded in pieces that overlap by half.
+        return [w for k in range(0, max(1, len(shown) - LONGEST // 2), LONGEST // 2) for w in decode(shown[k : k + LONGEST], self.lm, self.memo)]
+
+    def opened(self, token: str) -> list[str]:
+        """What a token hides, without the words that it shows. Signs at its ends may be punctuation."""
+        if not hides(token) or _SPREAD.match(token):
+            return []
+        found = self.decoded(token)
+        core = token.strip(_PUNCTUATION)
+        if core != token and hides(core):
+            found = found + self.decoded(core)
+        shown = {w for w in re.split(r"[\W\d_]+", token.lower()) if w}
+        return [w for w in dict.fromkeys(found) if w not in shown]
+
+    def kept(self, key, shown: str, what) -> list[str]:
+        if key not in self.seen:
+            if len(self.seen) > 200_000:
+                self.seen.clear()
+            self.seen[key] = what(shown)
+        return self.seen[key]
 
     def __call__(self, text: str) -> list[str]:
-        out = []
-        for m in _HIDDEN.finditer(text):
+        out, seen = [], self.seen
+        for token in _TOKEN.findall(text):
+            words = seen.get(token)
+            if words is None:
+                words = self.kept(token, token, self.opened)
+            if words:
+                out += words
+        for m in _SPACED.finditer(text):
             shown = m.group()
-            if shown not in self.seen:
-                if len(self.seen) > 200_000:
-                    self.seen.clear()
-                # A longer place is decoded in pieces that overlap by half.
-                self.seen[shown] = [w for k in range(0, max(1, len(shown) - LONGEST // 2), LONGEST // 2) for w in decode(shown[k : k + LONGEST], self.lm)]
-            out += self.seen[shown]
+            if any(map(str.isalpha, shown)):
+                out += self.kept((shown,), shown, self.decoded)  # what a spaced run and a token hide is kept apart
         return out
 
 

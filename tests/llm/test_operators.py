@@ -146,6 +146,16 @@ def test_deobfuscation(spark, edge, empty):
     assert toxicity.language_model(empty).shape == (64, 64, 64)
 
 
+def test_every_form_of_disguise_is_opened(spark):
+    lm = toxicity.smoothed(toxicity.count_trigrams(["you are an idiot and a stupid loser said the moron to the clown with bitch and garbage"] * 50))
+    sample = [(f"you idiot stupid loser moron clown bitch garbage {k}", 1) for k in range(30)] + [(f"kind words of a friend {k}", 0) for k in range(90)]
+    model = toxicity.fit(sample, lm)
+    forms = ["i d 1 o t", "i.d.1.0.t", "1 d 1 0 t", '"id1ot"', "(m0r0n)", "you-m0r0n", "idio7", "garbag#", "clown5", "8itch", "6arbage", "idioot", "i   d   i   o   t", "s-t-u-p-1-d", "1d10t", "m*ron", "s*t*u*p*i*d", "stuuuupid"]
+    docs = spark.createDataFrame([(k, f"kind {f} of a friend") for k, f in enumerate(forms)] + [(99, "kind words of a friend")], "doc_id long, text string")
+    r = rows_of(toxicity.score_toxicity(docs, model))
+    assert not [f for k, f in enumerate(forms) if r[k]["score"] <= 0.5] and r[99]["score"] < 0.3
+
+
 def brute_phrases(text, sample):
     n = at = 0
     while at < len(text):
