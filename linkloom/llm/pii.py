@@ -1,19 +1,23 @@
 """Personal data by patterns, and terms that give it away by information-theoretic sanitisation, in DataFrame functions only.
 
-Emails, IP addresses, cards and phone numbers are found by pattern and check: the protected entities. A term written near
-an entity reveals it if, over the whole corpus, seeing the term says much about the entity: with p(e|t) the share of the
-term's occurrences that stand in the entity's windows and p(e) the entity's share of all words, log2(p(e|t) / p(e)) bits.
-A term that gives nearly all of the entity's own -log2 p(e) bits is removed where it stands near the entity, one that
-gives a good part of them is generalised. Windows that are copies of each other count as one piece of evidence, or the
-rare words of every copied text would seem to reveal what stands next to them.
-
-Only texts with a digit or an @ are searched. Windows and terms are exploded and pre-aggregated, so an entity or a term
-that a third of all rows have is a few rows of counts.
+Emails, IP addresses, cards and phone numbers are found by pattern and check: the protected entities. A term reveals an
+entity if, over the whole corpus, seeing the term says much about the entity: with p(e|t) the share of the texts with the
+term that name the entity, and p(e) the entity's share of all words, log2(p(e|t) / p(e)) bits. A term that gives nearly
+all of the entity's own -log2 p(e) bits is removed, one that gives a good part of them is generalised, wherever it stands
+in a text that names the entity.
+
+Small counts are smoothed by absolute discounting: p(e|t) is multiplied by (k - DISCOUNT) / k for k pieces of evidence.
+Texts in which the entity stands between the same words are copies and one piece; one piece alone is next to no evidence,
+or each rare word of a text would seem to reveal whatever stands in it. Entities that can't pass for want of pieces or of
+bits are left out before terms are counted, which changes no result.
+
+Only texts with a digit or an @ are searched. Texts' terms are pre-aggregated, so an entity or a term that a third of all
+rows have is a few rows of counts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, cut
@@ -27,9 +31,9 @@ KINDS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 PLACES = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "generalise": "[TERM]", "remove": ""}
-#: Code points of a window on either side; least distinct windows of a term with an entity; shares of an entity's bits
-#: from which a term is generalised or removed; least bits.
-REACH, SUPPORT, GENERALISE, REMOVE, LEAST_BITS = 48, 3, 0.92, 0.97, 8.0
+#: Code points on either side of an entity that tell copies; what is taken from each count of evidence; shares of an
+#: entity's bits from which a term is generalised or removed; least bits.
+REACH, DISCOUNT, GENERALISE, REMOVE, LEAST_BITS = 48, 0.95, 0.92, 0.97, 8.0
 _TERM = r"\p{L}[\p{L}\p{M}\p{N}'’-]{2,}+"
 
 
@@ -84,49 +88,65 @@ def _written(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
 
 
-def _windows(marked: DataFrame) -> DataFrame:
-    """A row per term near an entity: id, print, entity, window (its hash), term, start, end."""
+def _terms(text: Column) -> Column:
+    """The distinct terms of a text, in lower case."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(_TERM), F.lit(0)), lambda t: F.lower(t)))
+
+
+def _named(held: DataFrame) -> DataFrame:
+    """A row per text and entity: key, entity, window (the hash of the words around the entity), times."""
     value = F.when(F.col("e.kind").isin("card", "phone"), _digits(F.col("e.value"))).otherwise(F.lower("e.value"))
-    rows = marked.filter(F.size("base") > 0).select("id", "print", "text", "base", F.explode("base").alias("e"))
-    left_at, right_at = F.greatest(F.col("e.start") - REACH, F.lit(0)), F.col("e.end")
-    rows = rows.select(
-        "id", "print", "base", F.concat_ws(":", "e.kind", value).alias("entity"),
-        left_at.alias("left_at"), right_at.alias("right_at"), F.char_length("text").alias("n"),
-        F.substring("text", left_at + 1, F.col("e.start") - left_at).alias("left"),
-        F.substring("text", right_at + 1, F.lit(REACH)).alias("right"),
-    )
-    rows = rows.withColumn("window", F.xxhash64("left", "right"))
-    # A term that the window's edge may have cut isn't whole.
-    whole_left = F.filter(_found(F.col("left"), _TERM, F.col("left_at")), lambda x: (x["start"] > F.col("left_at")) | (F.col("left_at") == 0))
-    whole_right = F.filter(_found(F.col("right"), _TERM, F.col("right_at")), lambda x: (x["end"] < F.col("right_at") + REACH) | (x["end"] == F.col("n")))
-    free = F.filter(F.concat(whole_left, whole_right), lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    rows = rows.select("id", "print", "entity", "window", F.explode(free).alias("t"))
-    return rows.select("id", "print", "entity", "window", F.lower("t.value").alias("term"), "t.start", "t.end")
-
-
-def revealing_terms(docs: DataFrame, windows: DataFrame, mentions: DataFrame, support: int, generalise: float, remove: float, least_bits: float) -> DataFrame | None:
-    """entity, term, action of terms over the thresholds; None if no term has the support.
-
-    ``docs`` has the column text; every occurrence in every row counts. Bits and shares are rounded to 9 digits.
+    rows = held.select("key", "text", F.explode("base").alias("e"))
+    left_at = F.greatest(F.col("e.start") - REACH, F.lit(0))
+    left, right = F.substring("text", left_at + 1, F.col("e.start") - left_at), F.substring("text", F.col("e.end") + 1, F.lit(REACH))
+    rows = rows.select("key", F.concat_ws(":", "e.kind", value).alias("entity"), F.xxhash64(left, right).alias("window"))
+    return rows.groupBy("key", "entity").agg(F.min("window").alias("window"), F.count(F.lit(1)).alias("times"))
+
+
+def revealing_terms(docs: DataFrame, held: DataFrame, named: DataFrame, discount: float, generalise: float, remove: float, least_bits: float) -> DataFrame | None:
+    """entity, term, action of terms over the thresholds; None if no entity has enough evidence.
+
+    ``docs`` has the column text; every row counts. Bits and shares are rounded to 9 digits.
     """
-    joint = windows.groupBy("entity", "term", "window").agg(F.count(F.lit(1)).alias("n"))
-    joint = cut(joint.groupBy("entity", "term").agg(F.sum("n").alias("together"), F.count(F.lit(1)).alias("windows")).filter(F.col("windows") >= support))
-    if joint.isEmpty():
+    total = max(docs.agg(F.sum(F.regexp_count("text", F.lit(WORD))).cast("double")).first()[0] or 1.0, 2.0)
+    p_e = F.least(F.col("mentions") / F.lit(total), F.lit(0.5))
+    known = named.groupBy("entity", "window").agg(F.sum("times").alias("times"))
+    known = known.groupBy("entity").agg(F.sum("times").alias("mentions"), F.count(F.lit(1)).alias("pieces"))
+    # With all texts of a term naming the entity: the bits are -log2 p(e) and what the discount takes.
+    most = -F.log2(p_e) + F.log2((F.col("pieces") - F.lit(discount)) / F.col("pieces"))
+    known = cut(known.filter((most >= least_bits - 1e-6) & (most >= -F.log2(p_e) * generalise - 1e-6)).select("entity", "mentions"))
+    if known.isEmpty():
         return None
+    near = cut(named.join(known, "entity").select("key", "entity", "window"))
+    words = held.join(near.select("key").distinct(), "key", "left_semi").select("key", F.explode(_terms(F.col("text"))).alias("term"))
+    joint = near.join(words, "key").groupBy("entity", "term", "window").agg(F.count(F.lit(1)).alias("n"))
+    joint = joint.groupBy("entity", "term").agg(F.sum("n").alias("together"), F.count(F.lit(1)).alias("pieces"))
     # Counted before they are joined: a task sends each of its terms once.
-    words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(_TERM), F.lit(0))).alias("term"))
-    times = words.groupBy("term").agg(F.count(F.lit(1)).alias("times"))
-    total = docs.agg(F.sum(F.regexp_count("text", F.lit(WORD))).cast("double")).first()[0] or 1.0
-    rows = joint.join(times, "term").join(mentions, "entity")
-    p_t = F.least(F.col("together") / F.greatest("times", "together"), F.lit(1.0))
-    p_e = F.least(F.col("mentions") / F.lit(max(total, 2.0)), F.lit(0.5))
+    times = docs.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("times"))
+    rows = joint.join(times, "term").join(known, "entity")
+    p_t = F.col("together") / F.greatest("times", "together") * (F.col("pieces") - F.lit(discount)) / F.col("pieces")
     rows = rows.withColumns({"bits": F.round(F.log2(p_t / p_e), 9), "own": F.round(-F.log2(p_e), 9)})
     share = F.col("bits") / F.col("own")
     rows = rows.filter((F.col("bits") >= least_bits) & (share >= generalise))
     return rows.select("entity", "term", F.when(share >= remove, "remove").otherwise("generalise").alias("action"))
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE, least_bits: float = LEAST_BITS) -> tuple[DataFrame, DataFrame | None]:
+def _occurrences(held: DataFrame, wanted: DataFrame) -> DataFrame:
+    """key, start, end, action of every occurrence of a text's wanted terms (key, term, action).
+
+    Places are sums over the pieces of one text, taken in order, so a long text costs no more than its length.
+    """
+    text = F.col("text")
+    values, gaps = F.regexp_extract_all(text, F.lit(_TERM), F.lit(0)), F.split(text, _TERM, -1)
+    some = held.join(wanted.select("key").distinct(), "key", "left_semi")
+    pieces = some.select("key", F.posexplode(F.zip_with(values, gaps, lambda v, g: F.struct(v.alias("v"), F.char_length(g).alias("gap")))).alias("at", "x"))
+    pieces = pieces.select("key", "at", F.col("x.v").alias("v"), (F.col("x.gap") + F.coalesce(F.char_length("x.v"), F.lit(0))).alias("n"))
+    pieces = pieces.withColumn("end", F.sum("n").over(Window.partitionBy("key").orderBy("at")).cast("int")).filter("v is not null")
+    found = pieces.select("key", F.lower("v").alias("term"), (F.col("end") - F.char_length("v")).alias("start"), "end")
+    return found.join(wanted, ["key", "term"]).select("key", "start", "end", "action")
+
+
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", discount: float = DISCOUNT, generalise: float = GENERALISE, remove: float = REMOVE, least_bits: float = LEAST_BITS) -> tuple[DataFrame, DataFrame | None]:
     """The base spans of all rows, and the further spans of terms.
 
     The first result has the columns of ``docs`` as the struct ``row``, id, text and base: an array of (start, rank, end,
@@ -135,15 +155,16 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", su
     no spans; repeated rows have equal spans.
     """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    held = cut(rows.filter(F.col("text").rlike("[0-9@]")).withColumn("base", base_spans(F.col("text"))).select("id", _print(), "text", "base").filter(F.size("base") > 0))
-    windows = cut(_windows(held))
-    value = F.when(F.col("e.kind").isin("card", "phone"), _digits(F.col("e.value"))).otherwise(F.lower("e.value"))
-    mentions = held.select(F.explode("base").alias("e")).groupBy(F.concat_ws(":", "e.kind", value).alias("entity")).agg(F.count(F.lit(1)).alias("mentions"))
-    terms = revealing_terms(rows.select("text"), windows, mentions, support, generalise, remove, least_bits)
+    held = rows.filter(F.col("text").rlike("[0-9@]")).withColumn("base", base_spans(F.col("text"))).select("id", _print(), "text", "base").filter(F.size("base") > 0)
+    held = cut(held.withColumn("key", F.monotonically_increasing_id()))
+    named = cut(_named(held))
+    terms = revealing_terms(rows.select("text"), held, named, discount, generalise, remove, least_bits)
     rows = rows.withColumn("base", base_spans(F.col("text")))
     if terms is None:
         return rows, None
-    more = windows.join(terms, ["entity", "term"]).groupBy("id", "print", "start", "end").agg(F.max("action").alias("action"))
+    wanted = cut(named.join(terms, "entity").groupBy("key", "term").agg(F.max("action").alias("action")))
+    more = _occurrences(held, wanted).join(held.select("key", "id", "print", "base"), "key")
+    more = more.filter(~F.exists("base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"])))
     span = F.struct(F.col("start").alias("start"), F.lit(len(KINDS)).alias("rank"), F.col("end").alias("end"), F.lit("term").alias("kind"), F.col("action").alias("value"))
     return rows, cut(more.groupBy(F.col("id").alias("of"), "print").agg(F.collect_set(span).alias("more")))  # spans of one text
 

@@ -391,6 +391,18 @@ def test_terms_that_give_an_entity_away(spark):
     assert clean[0]["n_chars"] == len(clean[0]["text"]) and clean[100]["text"] == rows[6][1]
 
 
+def test_terms_of_two_texts_are_marked_throughout_them(spark):
+    far = " and then other common words of the note again" * 8
+    rows = [(k, f"note {k} Zorblax wrote{far} to zed@corp.example on day{k} and Zorblax signed (zorblax){far}") for k in range(2)]
+    rows += [(10, f"Quuxian wrote{far} to one@corp.example alone")] + [(100 + k, f"note of a common day{far} wrote to signed on") for k in range(400)]
+    r = rows_of(pii.pii_report(spark.createDataFrame(rows, "doc_id long, text string")))
+    for k in range(2):
+        at = [m.start() for m in re.finditer("zorblax", rows[k][1].lower())]
+        spans = [x for x in r[k]["spans"].split(",") if x.startswith("term:")]
+        assert len(at) == 3 and spans == [f"term:{a}:{a + 7}" for a in at]
+    assert "term" not in r[10]["spans"] and not any("term" in r[100 + k]["spans"] for k in range(400))
+
+
 def test_sanitised_edges(edge, empty):
     out = pii.sanitise(edge)
     assert out.columns == edge.columns and out.count() == len(EDGE) and pii.sanitise(empty).count() == 0
