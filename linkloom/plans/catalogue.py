@@ -19,8 +19,8 @@ from .registry import packed_truth, registry, sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-#: Trees of the registered model queries: few, so that a check stays short.
-FEW_TREES = {"maxIter": 5, "maxDepth": 3}
+#: Folds of the registered cross-fit.
+FOLDS = 5
 
 
 def query(f: Query) -> Query:
@@ -392,17 +392,17 @@ def wide_features(spark, sf):
 @query
 def gbt_fit_score(spark, sf):
     pairs = truth.labelled(_features(spark, sf, False)[2], _edges(spark, sf)).persist()
-    fitted = model.fit(decisions.training_sample(pairs), features.BASE_FEATURES, **FEW_TREES)
+    fitted = model.fit(decisions.training_sample(pairs), features.BASE_FEATURES)
     return model.score(fitted, pairs, features.BASE_FEATURES).select("source1_id", "target_id", "label", "probability")
 
 
 @query
 def crossfit_oof(spark, sf):
     pairs = truth.labelled(_features(spark, sf, False)[2], _edges(spark, sf))
-    pairs = pairs.withColumn("rid_fold", folds.md5_bucket(F.col("source1_id"), 3))
+    pairs = pairs.withColumn("rid_fold", folds.md5_bucket(F.col("source1_id"), FOLDS))
     # A matched target has its owner's fold.
-    pairs = pairs.withColumn("fold", F.when(F.col("label") == 1, F.col("rid_fold")).otherwise(folds.md5_bucket(F.col("target_id"), 3))).persist()
-    return model.cross_fit(pairs, features.BASE_FEATURES, 3, **FEW_TREES)[0].select("source1_id", "target_id", "label", "probability")
+    pairs = pairs.withColumn("fold", F.when(F.col("label") == 1, F.col("rid_fold")).otherwise(folds.md5_bucket(F.col("target_id"), FOLDS))).persist()
+    return model.cross_fit(pairs, features.BASE_FEATURES, FOLDS)[0].select("source1_id", "target_id", "label", "probability")
 
 
 def _place(spark, name: str) -> str:

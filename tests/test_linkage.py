@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkloom.operators import contracts, decisions, evaluation, fuzzy, model, ranked, reports, truth
-from linkloom.plans import linkage
+from linkloom.plans import catalogue, linkage
 from linkloom.sources import tables
 
 PAIRS = "source1_id string, target_source string, target_id string, retrieval_score double"
@@ -141,3 +141,19 @@ def test_reports(spark):
     counts = spark.createDataFrame([("US", n) for n in range(1, 11)], "country string, n int")
     assert tuple(reports.distribution(counts).first()) == (5.5, 5, 10, 10, 10)
     assert reports.distribution_linear(counts).first()["p50"] == 5.5
+
+
+@pytest.mark.parametrize("name, folds", [("gbt_fit_score", None), ("crossfit_oof", 5)])
+def test_registered_models_are_the_whole_pair_model(spark, sf, monkeypatch, name, folds):
+    class Told(Exception):
+        pass
+
+    def fit(pairs, features, *own, **settings):
+        raise Told(own, settings)
+
+    monkeypatch.setattr(catalogue.model, "cross_fit" if folds else "fit", fit)
+    with pytest.raises(Told) as told:
+        catalogue.QUERIES[name](spark, sf)
+    own, settings = told.value.args
+    assert model.TREES | settings == model.TREES and own == ((folds,) if folds else ())
+    spark.catalog.clearCache()
