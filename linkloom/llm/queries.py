@@ -37,6 +37,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_links(_table(spark, sf_dir, "documents"))[0]
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -65,7 +69,7 @@ def op10_stable_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_repetition_coverage, op2_quality_attention, op3_identify_language, op4_jaccard_join, op5_mix_sources, op6_pack, op7_sanitise, op8_line_blocks, op9_toxicity_deobfuscated, op10_stable_projections]
+    found = [op1_repetition_coverage, op2_quality_attention, op3_identify_language, op4_jaccard_join, op4_jaccard_links, op5_mix_sources, op6_pack, op7_sanitise, op8_line_blocks, op9_toxicity_deobfuscated, op10_stable_projections]
     return {f.__name__: f for f in found}
 
 

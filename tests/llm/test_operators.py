@@ -233,6 +233,20 @@ def test_jaccard_join_equals_brute_force(spark, sf):
         assert {k: r["n_shingles"] for k, r in got.items()} == {k: len(s) for k, s in sets.items()}
 
 
+def test_every_link_is_counted(spark, edge, empty):
+    texts = near_copies(30) | {100 + k: " ".join(f"z{k}" if j == 4 * k else f"y{j}" for j in range(80)) for k in range(20)}  # each is linked with each
+    sets = brute_sets(texts)
+    near = lambda x, y: bool(x & y) and 100 * len(x & y) >= 75 * len(x | y)
+    docs, pairs = jaccard_join.jaccard_links(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+    got = rows_of(docs)
+    assert {k: r["n_links"] for k, r in got.items()} == {k: sum(j != k and near(sets[j], x) for j in sets) for k, x in sets.items()}
+    of = {r["class_id"]: sets[k] for k, r in got.items() if sets[k]}
+    want = {(min(a, b), max(a, b)) for a in of for b in of if a != b and near(of[a], of[b])}
+    rows = [(r["a"], r["b"]) for r in pairs.collect()]
+    assert len(want) > 3 * len(of) and set(rows) == want and len(rows) == len(want)
+    assert jaccard_join.jaccard_links(edge)[0].count() == len(EDGE) and jaccard_join.jaccard_links(empty)[0].count() == 0
+
+
 def test_jaccard_join_edges(edge, empty):
     got = jaccard_join.jaccard_components(edge).collect()
     assert len(got) == len(EDGE)
