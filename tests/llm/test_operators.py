@@ -436,7 +436,7 @@ def test_main_text():
     assert html_text.main_text("&lt;b&gt; x") == "<b> x"
 
 
-def test_line_blocks_choose_the_text_and_articles_only_widen_it():
+def test_line_blocks_choose_the_text_whatever_elements_there_are():
     body = "A sentence that is long enough to count as running text in a page. " * 3
     text, gap = body.strip(), "<nav>Menu</nav>" * 4
     teaser = f"<div><p>{body}</p><p>{body}</p></div>{gap}<article><a href=x>Read on</a><p>More.</p></article>"
@@ -450,6 +450,76 @@ def test_line_blocks_choose_the_text_and_articles_only_widen_it():
     assert html_text.main_text(far) == f"First\n\n{text}\n\nLast."
 
 
+def brute_line_blocks(weights, window, surge):
+    """Indices of main text, from the definition: line by line, window by window."""
+    out, k, n = set(), 0, len(weights)
+    while k < n:
+        if not weights[k]:
+            k += 1
+            continue
+        end = k + 1
+        while any(weights[end : end + window]):  # until a window holds nothing
+            end += 1
+        while not weights[end - 1]:
+            end -= 1
+        if any(sum(weights[i : i + window]) >= surge for i in range(k, end)):
+            out |= set(range(k, end))
+        k = end
+    return out
+
+
+def test_line_blocks_equal_brute_force():
+    rng = np.random.default_rng(3)
+    for _ in range(400):
+        weights = [int(x) for x in rng.choice([0, 0, 0, 5, 40, 90, 130], rng.integers(0, 40))]
+        window, surge = int(rng.integers(1, 5)), int(rng.choice([1, 60, 120, 200]))
+        got = {k for a, b in html_text.stretches(weights, window, surge) for k in range(a, b)}
+        assert got == brute_line_blocks(weights, window, surge)
+
+
+def test_pages_of_plain_blocks_equal_brute_force():
+    """Pages without any article: paragraphs, headings, links and menus in any order."""
+    rng = np.random.default_rng(4)
+    for _ in range(150):
+        page, lines = [], []
+        for k in range(int(rng.integers(0, 25))):
+            text = " ".join(f"w{k}x{j}" for j in range(int(rng.choice([1, 3, 12, 30]))))
+            kind = rng.choice(["p", "h2", "a", "nav", "div", "li"])
+            page.append(f"<p><a href=/x>{text}</a></p>" if kind == "a" else f"<{kind}>{text}</{kind}>")
+            weight = 0 if kind in ("a", "nav") or (kind in ("div", "li") and len(text) < html_text.SHORT) else len(text)
+            lines.append((text, weight, kind))
+        kept = brute_line_blocks([w for _, w, _ in lines], html_text.WINDOW, html_text.SURGE)
+        want = [t for k, (t, _, kind) in enumerate(lines) if k in kept and kind != "nav"]
+        want = want or [t for t, _, kind in lines if kind not in ("a", "nav")]
+        assert html_text.main_text("<body>" + "\n".join(page)) == "\n\n".join(want)
+
+
+def test_nothing_of_the_text_is_cut_for_its_markup():
+    body = "A sentence that is long enough to count as running text in a page. " * 3
+    text = body.strip()
+    assert html_text.main_text("<p>..</p> tail a < b and more") == "..\n\ntail a < b and more"
+    for name in ("social-history", "search-theory", "sharing", "page with-sidebar", "aspnetForm"):
+        for tag in ("div", "section", "form"):
+            longer = html_text.main_text(f"<{tag} class='{name}'>{f'<p>{body}</p>' * 8}</{tag}><p>{text[:60]}</p>")
+            assert longer.startswith("\n\n".join([text] * 8))
+            assert html_text.main_text(f"<{tag} class='{name}'><p>{body}</p></{tag}>") == text
+    talk = f"<article><p>{body}</p></article><section class='comments'>{'<p>I think so too, and at some length at that.</p>' * 90}</section>"
+    assert html_text.main_text(talk) == text
+    assert html_text.main_text('<article><p>one</p><svg class="i"/><p>two</p>') == "one\n\ntwo"
+    assert html_text.main_text("<article><p>one<button>x<p>two</p></article>") == "one\n\ntwo"
+    assert html_text.main_text(f"<article><a name=top><p>{body}</p><noscript><p>No script</p></noscript></article>") == text
+    assert html_text.main_text(f"<p>{body} &#{'0' * 5000}65; &#{'9' * 5000}; x</p>") == f"{text} A \ufffd x"
+
+
+@pytest.mark.parametrize("bad", ["<a href='x ", "<a href='>' ", "<!-- x ", "<b ", "<svg>", "</svg>", "<button>", "<", "<a b= '", "<script>", "&#1", "<div class='ad'>", "<p></div>", "= <a"])
+def test_hostile_pages_take_linear_time(bad):
+    import time
+
+    begun = time.process_time()
+    html_text.main_text(bad * ((1 << 20) // len(bad)))
+    assert time.process_time() - begun < 2
+
+
 def test_extract_text(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet").withColumn("id", F.lit("clash")).withColumn("text", F.lit("clash"))
     got = rows_of(html_text.extract_text(pages), "page_id")
