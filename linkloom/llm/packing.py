@@ -35,9 +35,9 @@ _encoders: dict[str, object] = {}
 def encoder(folder: str | None = None, name: str = VOCABULARY):
     """A function from texts to lists of ids; loaded once a worker.
 
-    The ids are those of ``<name>.json`` in the ``tokenizers`` library, special strings being ordinary text. The same
-    vocabulary is kept as ranks, from which ``tiktoken`` makes the same ids in a fifth of the time; texts that its
-    pattern engine might refuse go to ``tokenizers``.
+    The ids are those of ``<name>.json`` in the ``tokenizers`` library as it loads, special strings in a text included:
+    they become their own ids. The same vocabulary is kept as ranks, from which ``tiktoken`` makes the same ids in a fifth
+    of the time; texts that its pattern engine might refuse go to ``tokenizers``.
     """
     import os
 
@@ -51,14 +51,14 @@ def encoder(folder: str | None = None, name: str = VOCABULARY):
     if key not in _encoders:
         with open(at(f"{name}.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         slow = Tokenizer.from_file(at(f"{name}.json"))
-        slow.encode_special_tokens = True
+        special = {t.content: k for k, t in slow.get_added_tokens_decoder().items()}
+        fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
         def encode(text: str) -> list[int]:
             if not LONG_RUN.search(text):
                 try:
-                    return fast.encode_ordinary(text)
+                    return fast.encode(text, allowed_special="all")
                 except ValueError:  # the pattern engine gave up
                     pass
             return slow.encode(text, add_special_tokens=False).ids
