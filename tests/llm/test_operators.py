@@ -175,6 +175,32 @@ def test_cross_parsing_counts_longest_matches():
         assert [brute_phrases(text, samples[k]) for k in ("x", "y")] == phrases[0].tolist()
 
 
+def test_cross_parsing_of_scripts_with_many_letters():
+    rng = np.random.default_rng(5)
+    letters = [chr(0x4E00 + k) for k in range(400)] + list("абвгд")
+    text = lambda n: "".join(letters[k] for k in np.minimum(rng.geometric(0.01, n), len(letters)) - 1)
+    samples = {"x": text(3000), "y": text(3000), "z": "plain letters only"}
+    parser = language_id.Parser(samples)
+    assert len(parser.automata[0].keys)  # more letters than dense columns
+    for t in (text(200), samples["x"][100:300], samples["y"][-50:] + "ab" + samples["x"][:50], "ひらがな" + text(9)):
+        phrases, _ = parser.parse([t, None, t])
+        want = [brute_phrases(t, samples[k]) for k in "xyz"]
+        assert phrases.tolist() == [want, [0, 0, 0], want]
+
+
+def test_every_language_and_script_is_learned(spark, monkeypatch):
+    """Ninety languages in scripts of their own, of up to three hundred letters; dense tables of only a few are kept."""
+    monkeypatch.setattr(language_id, "CELLS", 20_000)
+    rng = np.random.default_rng(6)
+    rows = []
+    for lang in range(90):
+        letters = [chr(0x4E00 + 220 * lang + int(k)) for k in rng.permutation(220)[: 20 + 2 * lang]] if lang % 2 else [chr(0x4E00 + int(k)) for k in rng.permutation(300)[:40]]
+        words = ["".join(rng.choice(letters, int(rng.integers(2, 5)))) for _ in range(60)]
+        rows += [(100 * lang + k, " ".join(rng.choice(words, 80)), f"l{lang:02}", "s", 0) for k in range(6)]
+    got = language_id.identify_language(spark.createDataFrame(rows, DOC), F.col("doc_id") % 100 < 4).collect()
+    assert all(r["lang_pred"] == f"l{r['doc_id'] // 100:02}" for r in got)
+
+
 def test_language(spark, sf, edge, empty):
     got = queries.op3_identify_language(spark, "/root/testdata/sf0.01").join(documents(spark, "/root/testdata/sf0.01").select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()
     assert (got.lang == got.lang_pred).mean() > 0.97
