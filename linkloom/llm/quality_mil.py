@@ -139,7 +139,9 @@ def fit(sample: list[tuple[str, int]], steps: int = STEPS, rate: float = RATE, s
 def score_quality(docs: DataFrame, model: Model, text_col: str = "text", id_col: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """Score every whole text. Returns the id, the columns in ``keep``, score and predicted (score >= 0.5).
 
-    A null or empty text is a bag of one empty passage and gets the score that the model gives that.
+    A null or empty text is a bag of one empty passage and gets the score that the model gives that. Repeated rows give
+    repeated results, and equal texts equal scores, so there are no ties to break. A very long text is a bag of many passages,
+    all of them read. An empty table gives no rows; other columns are ignored, whatever their names.
     """
     columns = [id_col, *keep]
 

@@ -33,6 +33,7 @@ LOOKALIKE = {
 SAME, ALIKE, NOTHING, AGAIN, GAP = 0.0, -1.0, -7.0, -0.7, -0.1
 #: Letter classes of the language model: the edge, a to z, and classes that all other letters share.
 CLASSES = 64
+#: Characters of a place that are decoded together, repeats beyond three left out. Words aren't longer; a longer place is decoded in such pieces.
 LONGEST = 64
 #: Decodings of a place that are scored, and how far below the best in log probability.
 BEST, MARGIN = 4, 10.0
@@ -44,6 +45,7 @@ _UNIT, _GAP = rf"(?:{_LETTER}|[0-9@$!+(#%&])", rf"[{re.escape(_MARKS)}]+"
 #: Letters or signs set apart; tokens of letters and signs, of which those with a sign or a doubled letter hide something.
 _SPACED = re.compile(rf"(?<!\w){_UNIT}(?:{_GAP}{_UNIT}){{2,}}(?!\w)")
 _TOKEN = re.compile(rf"(?:{_LETTER}|[{_SIGNS}])+")
+_OFTEN = re.compile(r"(.)\1{3,}", re.S)  # a character more often than it can be meant
 _TWICE = re.compile(rf"({_LETTER})\1", re.I)
 _SPREAD = re.compile(rf"^{_UNIT}(?:{_GAP}{_UNIT})+$")
 _PUNCTUATION = "".join(c for c in LOOKALIKE if not c.isdigit())
@@ -64,19 +66,15 @@ def letter_class(c: str) -> int:
 
 def count_trigrams(texts: list[str]) -> np.ndarray:
     """Counts of letter trigrams of lower-cased texts; whatever isn't a letter is the edge of a word."""
-    out = np.zeros(CLASSES**3, dtype=np.int64)
-    points = np.frombuffer("\n".join(["", *texts, "", ""]).lower().encode("utf-32-le", "replace"), dtype="<u4")
-    table = _class_table()
-    c = table[points]
+    points = np.frombuffer("\n".join(["", *texts, ""]).lower().encode("utf-32-le", "replace"), dtype="<u4")
+    c = _class_table()[points]
     keep = c != 0
     keep[1:] |= c[:-1] != 0
-    keep[:2] = True
-    c = c[keep].astype(np.int64)
-    if len(c) > 2:
-        out += np.bincount((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], minlength=CLASSES**3)
-        edge = np.flatnonzero(c[1:-1] == 0) + 1  # a word's first letter follows two edges
-        out += np.bincount(c[edge + 1], minlength=CLASSES**3)
-    return out
+    keep[0] = True
+    c = c[keep].astype(np.int64)  # words between single edges
+    first = c[1:][(c[:-1] == 0) & (c[1:] != 0)]  # a word's first letter follows two edges
+    inside = c[1:-1] != 0
+    return np.bincount(first, minlength=CLASSES**3) + np.bincount(((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:])[inside], minlength=CLASSES**3)
 
 
 _tables: list[np.ndarray] = []
@@ -100,7 +98,8 @@ def language_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         total = np.zeros(CLASSES**3, dtype=np.int64)
         for batch in batches:
             for block in blocks(batch.column(0)):
-                total += count_trigrams([block.data.tobytes().decode("utf-8", "replace")])
+                apart = np.insert(block.data, block.offsets[1:-1], 10)  # texts are words apart, however rows come in batches
+                total += count_trigrams([apart.tobytes().decode("utf-8", "replace")])
         cells = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int32)), pa.array(total[cells])], names=["cell", "n"])
 
@@ -124,7 +123,7 @@ def smoothed(counts: np.ndarray) -> np.ndarray:
 
 
 def decode(shown: str, lm: np.ndarray, memo: dict | None = None) -> list[str]:
-    """The likeliest words behind ``shown``, at most BEST and within MARGIN: Viterbi over states of the last two letters and the decisions on signs.
+    """The likeliest words behind ``shown``, at most BEST and within MARGIN, by Viterbi: exact under the channel and the language model.
 
     Letters before the first sign or repeat leave one state, so what follows depends on the last two of them only; ``memo`` keeps that.
     """
@@ -145,40 +144,51 @@ def decode(shown: str, lm: np.ndarray, memo: dict | None = None) -> list[str]:
     return [text for cost, text in found if text and cost >= found[0][0] - MARGIN]
 
 
-def _ends(a: int, b: int, last: str, rest: str, spread: bool, lm: np.ndarray) -> list[tuple[float, str]]:
-    """What ``rest`` may stand for behind the letters of classes a and b, of which the second is ``last``: log probability and letters, best first."""
-    states: dict[tuple[int, int, str], tuple[float, str]] = {(a, b, ""): (0.0, last)}
+def _ends(a: int, b: int, last: str, rest: str, spread: bool, lm) -> list[tuple[float, str]]:
+    """What ``rest`` may stand for behind the letters of classes a and b, of which the second is ``last``: log probability and letters, best first.
+
+    What may follow depends on the last two classes and the last letter alone. Every such state keeps its BEST ways of
+    reading the signs, so the BEST of all are found, whatever else there is.
+    """
+    states: dict[tuple[int, int, str], list[tuple[float, str, str]]] = {(a, b, last): [(0.0, "", last)]}
     for c in rest:
-        letters = [(c, SAME)] if c.isalpha() else [(x, ALIKE) for x in LOOKALIKE.get(c, "")]
-        nothing = None if c.isalpha() else GAP if spread and c in _MARKS else NOTHING
-        after: dict[tuple[int, int, str], tuple[float, str]] = {}
-
-        def offer(key, cost, text):
-            if key not in after or cost > after[key][0]:  # noqa: B023
-                after[key] = (cost, text)  # noqa: B023
-
-        for (a, b, signs), (cost, text) in states.items():
-            for x, how in letters:
-                k = letter_class(x)
-                offer((b, k, signs if c.isalpha() else signs + x), cost + how + lm[a, b, k], text + x)
-                if text and text[-1] == x and c.isalpha():
-                    offer((a, b, signs), cost + AGAIN, text)
-            if nothing is not None:
-                offer((a, b, signs), cost + nothing, text)
-        states = dict(sorted(after.items(), key=lambda s: -s[1][0])[:64]) or states
-    ends = sorted(((float(cost + lm[a, b, 0]), text) for (a, b, _), (cost, text) in states.items()), reverse=True)[:BEST]
-    return [(cost, text[len(last) :]) for cost, text in ends]
+        letter = c.isalpha()
+        letters = [(c, letter_class(c), SAME)] if letter else [(x, letter_class(x), ALIKE) for x in LOOKALIKE.get(c, "")]
+        nothing = None if letter else GAP if spread and c in _MARKS else NOTHING
+        after: dict[tuple[int, int, str], dict[str, tuple[float, str]]] = {}
+        for (a, b, before), ways in states.items():
+            ahead = lm[a][b]
+            for x, k, how in letters:
+                found, step = after.setdefault((b, k, x), {}), how + ahead[k]
+                for cost, signs, text in ways:
+                    read = signs if letter else signs + x
+                    if read not in found or cost + step > found[read][0]:
+                        found[read] = (cost + step, text + x)
+            step = nothing if nothing is not None else AGAIN if before == c else None
+            if step is not None:
+                found = after.setdefault((a, b, before), {})
+                for cost, signs, text in ways:
+                    if signs not in found or cost + step > found[signs][0]:
+                        found[signs] = (cost + step, text)
+        if after:
+            states = {key: _best([(cost, signs, text) for signs, (cost, text) in found.items()]) for key, found in after.items()}
+    ends = [(float(cost + lm[a][b][0]), text) for (a, b, _), ways in states.items() for cost, _, text in ways]
+    return [(cost, text[len(last) :]) for cost, text in sorted(ends, reverse=True)[:BEST]]
+
+
+def _best(ways: list[tuple[float, str, str]]) -> list[tuple[float, str, str]]:
+    return ways if len(ways) <= BEST else sorted(ways, reverse=True)[:BEST]
 
 
 class Restorer:
     """Words restored from a text, each hidden place decoded once a worker."""
 
     def __init__(self, lm: np.ndarray):
-        self.lm, self.seen, self.memo = lm, {}, {}
+        self.lm, self.seen, self.memo = lm.tolist(), {}, {}
 
     def decoded(self, shown: str) -> list[str]:
-        # A longer place is decoded in pieces that overlap by half.
-        return [w for k in range(0, max(1, len(shown) - LONGEST // 2), LONGEST // 2) for w in decode(shown[k : k + LONGEST], self.lm, self.memo)]
+        shown = _OFTEN.sub(r"\1\1\1", shown)
+        return [w for k in range(0, len(shown), LONGEST) for w in decode(shown[k : k + LONGEST], self.lm, self.memo)]
 
     def opened(self, token: str) -> list[str]:
         """What a token hides, without the words that it shows. Signs at its ends may be punctuation."""
@@ -325,7 +335,9 @@ def fit(sample: list[tuple[str, int]], lm: np.ndarray) -> Model:
 def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text_col: str = "text", id_col: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """Score every whole text. Returns the id, the columns in ``keep``, score and predicted (score >= threshold).
 
-    Null and empty texts have no words and get the score that the model gives that.
+    Null and empty texts have no words and get the score that the model gives that, as does every text of equal words, so
+    repeated rows give repeated results and there are no ties to break. Long texts are read whole, in time linear in their
+    length. An empty table gives no rows; other columns are ignored, whatever their names.
     """
     columns = [id_col, *keep]
     told = docs.sparkSession.sparkContext.broadcast(model)  # a language model of CLASSES ** 3 cells and the sample's words

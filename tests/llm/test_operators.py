@@ -156,6 +156,62 @@ def test_every_form_of_disguise_is_opened(spark):
     assert not [f for k, f in enumerate(forms) if r[k]["score"] <= 0.5] and r[99]["score"] < 0.3
 
 
+def brute_decode(shown, lm, spread):
+    """Every reading of every character, scored whole: the likeliest letters of each reading of the signs, best first."""
+    best = {}
+
+    def go(k, cost, signs, text):
+        if k == len(shown):
+            total = cost + lm[([0, 0, *map(toxicity.letter_class, text)])[-2], ([0, *map(toxicity.letter_class, text)])[-1], 0]
+            key = (text[-2:], signs)
+            if key not in best or total > best[key][0]:
+                best[key] = (total, text)
+            return
+        c = shown[k]
+        a, b = ([0, 0, *map(toxicity.letter_class, text)])[-2:]
+        for x in [c] if c.isalpha() else toxicity.LOOKALIKE.get(c, ""):
+            step = (toxicity.SAME if c.isalpha() else toxicity.ALIKE) + lm[a, b, toxicity.letter_class(x)]
+            go(k + 1, cost + step, signs if c.isalpha() else signs + x, text + x)
+        if not c.isalpha():
+            go(k + 1, cost + (toxicity.GAP if spread and c in " .-_*|/" else toxicity.NOTHING), signs, text)
+        elif text and text[-1] == c:
+            go(k + 1, cost + toxicity.AGAIN, signs, text)
+
+    go(0, 0.0, "", "")
+    return sorted(best.values(), reverse=True)
+
+
+def test_decoding_equals_every_reading(spark):
+    lm = toxicity.language_model(documents(spark, "/root/testdata/sf0.001"))
+    rng = np.random.default_rng(8)
+    for _ in range(120):
+        shown = "".join(rng.choice(list("abdeilotuoo013458@*!"), int(rng.integers(2, 8))))
+        want = brute_decode(shown, lm, False)
+        got = toxicity.decode(shown, lm)
+        if not any(map(str.isalpha, want[0][1])):
+            continue
+        assert got[0] == want[0][1] and set(got) <= {t for _, t in want}
+
+
+def test_language_model_does_not_depend_on_batches(spark):
+    texts = [("ab",), ("cd",), (None,), ("",), ("ef gh",)]
+    df = spark.createDataFrame(texts, "text string")
+    together, apart = toxicity.language_model(df.coalesce(1)), toxicity.language_model(df.repartition(5))
+    assert np.array_equal(together, apart)
+    assert np.array_equal(together, toxicity.smoothed(toxicity.count_trigrams(["ab\ncd\n\n\nef gh"]).astype(float)))
+
+
+@pytest.mark.parametrize("make", [lambda n, r: "a" * n, lambda n, r: "".join(r.choice(list("abcdefghijklmnopqrstuvwxyz"), n)), lambda n, r: "".join(map(chr, r.integers(0x4E00, 0x5E00, n))), lambda n, r: "ab" * (n // 2), lambda n, r: "stu" + "-" * n])
+def test_long_texts_without_spaces(make):
+    import time
+
+    lm = toxicity.smoothed(np.ones(toxicity.CLASSES**3))
+    text = make(1 << 20, np.random.default_rng(9))
+    begun = time.process_time()
+    toxicity.Restorer(lm)(text)
+    assert time.process_time() - begun < 4
+
+
 def brute_phrases(text, sample):
     n = at = 0
     while at < len(text):
