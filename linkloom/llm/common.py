@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import os
+import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -70,27 +72,60 @@ def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    ``spark.checkpoint.dir`` names it; only where that is unset, as in tests, a new temporary folder becomes it.
+    ``spark.checkpoint.dir`` names it. Where that is unset it is the warehouse; on a local master, as in tests, where driver and
+    executors are one process, a new temporary folder.
     """
-    try:
-        at = spark.conf.get("spark.checkpoint.dir")
-    except Exception:  # noqa: BLE001  the setting is unset
-        at = None
+    at = spark.conf.get("spark.checkpoint.dir", "")
     if not at:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
         if found.isDefined():
             return found.get()
-        at = "file://" + tempfile.mkdtemp(prefix="linkloom-")
+        if spark.sparkContext.master.startswith("local"):
+            at = "file://" + tempfile.mkdtemp(prefix="linkloom-")
+            atexit.register(shutil.rmtree, at[7:], ignore_errors=True)
+        else:
+            at = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/linkloom"
         spark.sparkContext.setCheckpointDir(at)
     return at
 
 
+_scratch: list[list[DataFrame]] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to a Parquet table in the shared folder and read it again: a short lineage that outlives executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/linkloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    if _scratch:
+        _scratch[-1].append(out)
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Delete the table behind what ``cut`` returned; no result may need it any more."""
+    path = getattr(df, "_cut_path", None)
+    if path:
+        spark = df.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
+def settled(make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` returns, cut; the tables that were cut on the way are deleted."""
+    _scratch.append([])
+    try:
+        out = cut(make())
+    finally:
+        made = _scratch.pop()
+    for df in made:
+        if df is not out:
+            forget(df)
+    if _scratch:
+        _scratch[-1].append(out)
+    return out
 
 
 def fold(key: str, n: int):
