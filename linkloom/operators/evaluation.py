@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,12 +18,11 @@ def f_half(tp: Column, predicted: Column, truth: Column) -> Column:
 
 
 def _grid(spark, **axes) -> DataFrame:
-    """All combinations of a few settings: a table whose size the call fixes."""
-    df = None
-    for name, values in axes.items():
-        one = spark.createDataFrame([(v,) for v in values], f"{name} {'int' if isinstance(values[0], int) else 'double'}")
-        df = one if df is None else df.crossJoin(one)
-    return F.broadcast(df)
+    """All combinations of a few settings: a table whose size the call fixes, made without a job. None is allowed among them."""
+    kinds = ["int" if isinstance(values[0], int) else "double" for values in axes.values()]
+    cell = lambda v, kind: f"CAST({'NULL' if v is None else v} AS {kind})"
+    rows = ", ".join(f"({', '.join(map(cell, row, kinds))})" for row in product(*axes.values()))
+    return F.broadcast(spark.sql(f"SELECT * FROM VALUES {rows} AS t({', '.join(axes)})"))
 
 
 def truth_counts(queries: DataFrame, edges: DataFrame) -> DataFrame:
@@ -36,15 +37,17 @@ def sweep(queries: DataFrame, scored: DataFrame, edges: DataFrame, caps=CAPS, th
     """
     spark = scored.sparkSession
     truth = truth_counts(queries, edges)
-    grid = _grid(spark, cap_per_source=list(caps), threshold=list(thresholds))
+    # A setting without a threshold counts the links among candidates, so pairs are read once.
+    grid = _grid(spark, cap_per_source=list(caps), threshold=[*map(float, thresholds), None])
     kept = scored.select("source1_id", "candidate_rank", F.col(score).alias("p"), "label")
-    counts = kept.join(grid, (F.col("candidate_rank") <= F.col("cap_per_source")) & (F.col("p") >= F.col("threshold")))
+    counts = kept.join(grid, (F.col("candidate_rank") <= F.col("cap_per_source")) & (F.col("threshold").isNull() | (F.col("p") >= F.col("threshold"))))
     counts = counts.groupBy("cap_per_source", "threshold", "source1_id").agg(F.sum("label").alias("tp"), F.count(F.lit(1)).alias("predicted"))
-    per = counts.join(truth, "source1_id").withColumn("gain", f_half(F.col("tp"), F.col("predicted"), F.col("truth_count")) - f_half(F.lit(0), F.lit(0), F.col("truth_count")))
-    gains = per.groupBy("cap_per_source", "threshold").agg(F.sum("gain").alias("gain"))
-    hits = kept.join(_grid(spark, cap_per_source=list(caps)), F.col("candidate_rank") <= F.col("cap_per_source")).groupBy("cap_per_source").agg(F.sum("label").alias("candidate_hits"))
+    per = counts.join(truth, "source1_id", "left").withColumn("gain", f_half(F.col("tp"), F.col("predicted"), F.col("truth_count")) - f_half(F.lit(0), F.lit(0), F.col("truth_count")))
+    sums = per.groupBy(F.col("cap_per_source").alias("c"), F.col("threshold").alias("t")).agg(F.sum("gain").alias("gain"), F.sum("tp").alias("tp"))
     all_ = truth.agg(F.count(F.lit(1)).alias("n"), F.sum("truth_count").alias("truth_links"), F.sum(f_half(F.lit(0), F.lit(0), F.col("truth_count"))).alias("empty"))
-    out = grid.join(gains, ["cap_per_source", "threshold"], "left").join(hits, "cap_per_source", "left").crossJoin(F.broadcast(all_))  # one row
+    out = grid.join(sums, (F.col("cap_per_source") == F.col("c")) & F.col("threshold").eqNullSafe(F.col("t")), "left")  # a row per setting
+    out = out.withColumn("candidate_hits", F.max(F.when(F.col("threshold").isNull(), F.col("tp"))).over(Window.partitionBy("cap_per_source")))
+    out = out.filter("threshold is not null").crossJoin(F.broadcast(all_))  # one row
     return out.select(
         "cap_per_source", "threshold", F.round((F.col("empty") + F.coalesce("gain", F.lit(0.0))) / F.col("n"), 9).alias("macro_f0_5"),
         F.coalesce("candidate_hits", F.lit(0)).alias("candidate_hits"), "truth_links",

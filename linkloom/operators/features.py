@@ -56,6 +56,7 @@ def pair_features(pairs: DataFrame, queries: DataFrame, targets: DataFrame, comp
     def both(c: str) -> tuple[Column, Column]:
         return F.col(f"q_{c}"), F.col(f"t_{c}")
 
+    again: dict[str, Column] = {}
     made = {"target_is_s2": F.col("target_source") == "S2", "query_address_missing": F.col("q_norm_address") == "", "target_address_missing": F.col("t_norm_address") == ""}
     made |= {"number_jaccard": jaccard(*both("numbers")), "postal_equal": equal(*both("postal"))}
     for part in ("name", "address"):
@@ -65,10 +66,16 @@ def pair_features(pairs: DataFrame, queries: DataFrame, targets: DataFrame, comp
             f"{part}_token_jaccard": jaccard(*words), f"{part}_token_containment": containment(*words),
         }
         if composite:
+            # Where both records' romanised forms are their normal forms, which most are, nothing is measured twice.
             roman, words = both(f"roman_{part}"), both(f"roman_{part}_tokens")
-            made |= {f"roman_{part}_edit_similarity": edit_similarity(*roman), f"roman_exact_{part}": equal(*roman), f"roman_{part}_token_jaccard": jaccard(*words)}
+            as_is = (roman[0] == norm[0]) & (roman[1] == norm[1])
+            again |= {
+                f"roman_{part}_edit_similarity": F.when(as_is, F.col(f"{part}_edit_similarity")).otherwise(edit_similarity(*roman)),
+                f"roman_{part}_token_jaccard": F.when(as_is, F.col(f"{part}_token_jaccard")).otherwise(jaccard(*words)), f"roman_exact_{part}": equal(*roman),
+            }
     if composite:
         house = [F.coalesce(F.get(n, F.lit(0)), F.lit("")) for n in both("numbers")]
         made |= {"house_number_equal": equal(*house), "candidate_rank_reciprocal": 1.0 / F.greatest(F.col("candidate_rank").cast("double"), F.lit(1.0))}
     names = COMPOSITE_FEATURES if composite else BASE_FEATURES
-    return df.select(*PAIR, *[made.get(c, F.col(c) if c not in made else None).cast("double").alias(c) for c in names])
+    df = df.withColumns({c: e.cast("double") for c, e in made.items()}).withColumns({c: e.cast("double") for c, e in again.items()})
+    return df.select(*PAIR, *[F.col(c).cast("double").alias(c) for c in names])

@@ -20,6 +20,8 @@ VIEWS = {
     "name": dict(name=1.0, name_core=1.2, nw=1.0, ncw=1.2),
     "address": dict(address=1.0, address_core=1.2, aw=1.0, acw=1.2),
 }
+#: Fields of one family hold mostly the same terms: a term that two records share in both is one row of a search.
+FAMILIES = {"name": ("name", "name_core"), "name words": ("nw", "ncw"), "address": ("address", "address_core"), "address words": ("aw", "acw")}
 K1, B, OFFSET, MISSING, TOP, FUSED = 1.2, 0.75, 60, 25, 24, 8
 SCORE_DIGITS, FUSED_DIGITS = 6, 10
 
@@ -70,11 +72,32 @@ def index(references: DataFrame, fields: list[str]) -> DataFrame:
 def search(targets: DataFrame, indexed: DataFrame, views: dict[str, dict[str, float]] = VIEWS, top: int = TOP) -> DataFrame:
     """target_id, view, rid, score, view_rank: the top references of every target in every view."""
     fields = sorted({f for v in views.values() for f in v})
-    boosts = F.array(*[F.struct(F.lit(v).alias("view"), F.lit(f).alias("field"), F.lit(w).alias("boost")) for v, fs in views.items() for f, w in fs.items()])
-    own = terms(targets, fields).select(F.col("entity_id").alias("target_id"), "country", "field", "term")
-    hits = own.join(indexed, ["country", "field", "term"]).groupBy("target_id", "rid", "field").agg(F.sum("weight").alias("s"))
-    hits = hits.withColumn("x", F.explode(F.filter(boosts, lambda b: b["field"] == F.col("field"))))
-    scored = hits.groupBy("target_id", F.col("x.view").alias("view"), "rid").agg(F.round(F.sum(F.col("s") * F.col("x.boost")), SCORE_DIGITS).alias("score"))
+    family = F.coalesce(*[F.when(F.col("field").isin(*of), F.lit(name)) for name, of in FAMILIES.items()], F.col("field")).alias("family")
+    slots = {name: of for name, of in FAMILIES.items()} | {f: (f, f) for f in fields if not any(f in of for of in FAMILIES.values())}
+    core = F.col("field").isin(*[of[1] for of in FAMILIES.values()])
+    key = ["country", "family", "term"]
+    own = terms(targets, fields).select(F.col("entity_id").alias("target_id"), "country", family, "term", core.alias("core"))
+    # Both sides are dealt by term once: their aggregates and the join need no other shuffle, and many hits of few terms stay spread.
+    parts = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = own.repartition(parts, *key).groupBy("target_id", *key).agg(F.max(~F.col("core")).alias("has0"), F.max("core").alias("has1"))
+    there = indexed.select("rid", "country", family, "term", "weight", core.alias("core"))
+    there = there.repartition(parts, *key).groupBy("rid", *key).agg(F.max(F.when(~F.col("core"), F.col("weight"))).alias("w0"), F.max(F.when(F.col("core"), F.col("weight"))).alias("w1"))
+    hits = own.join(there, key)
+
+    def gain(fs: dict[str, float]) -> Column:
+        """What a hit gives in a view of these boosted fields; null if none of its fields is in the view."""
+        cases = []
+        for name, of in slots.items():
+            some = [F.when(F.col(f"has{k}"), F.lit(fs[f]) * F.col(f"w{k}")) for k, f in enumerate(of) if f in fs and (k == 0 or f != of[0])]
+            if len(some) == 2:
+                some = [F.coalesce(some[0] + some[1], *some)]
+            cases += [F.when(F.col("family") == name, some[0])] if some else []
+        return F.coalesce(*cases)
+
+    # One pass over the hits: a pair's scores in all views side by side, null where a view has no hit.
+    sums = [F.round(F.sum(gain(fs)), SCORE_DIGITS).alias(v) for v, fs in views.items()]
+    each = F.explode(F.array(*[F.struct(F.lit(v).alias("view"), F.col(v).alias("score")) for v in views])).alias("x")
+    scored = hits.groupBy("target_id", "rid").agg(*sums).select("target_id", "rid", each).select("target_id", "x.view", "rid", "x.score").filter("score is not null")
     order = Window.partitionBy("target_id", "view").orderBy(F.desc("score"), "rid")
     return scored.withColumn("view_rank", F.row_number().over(order)).filter(F.col("view_rank") <= top)
 

@@ -15,15 +15,15 @@ def _trimmed(name: str) -> Column:
     return F.trim(F.coalesce(F.col(name).cast("string"), F.lit("")))
 
 
-def prepare_records(records: DataFrame, config: Blocking = BASE, source: str | None = None, all_scripts: bool = False) -> DataFrame:
+def prepare_records(records: DataFrame, config: Blocking = BASE, source: str | None = None, all_scripts: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per record with an id.
 
     The columns entity_id, business_name, business_address and country are read, others ignored; nulls count as empty.
-    ``all_scripts`` keeps other scripts than Latin and adds romanised views, by an Arrow UDF; else all is done on columns.
+    ``keep`` names further columns that stay. ``all_scripts`` keeps other scripts than Latin and adds romanised views, by an Arrow UDF; else all is done on columns.
     """
     df = records.select(
         _trimmed("entity_id").alias("entity_id"), _trimmed("country").alias("country"),
-        F.coalesce(F.col("business_name"), F.lit("")).alias("business_name"), F.coalesce(F.col("business_address"), F.lit("")).alias("business_address"),
+        F.coalesce(F.col("business_name"), F.lit("")).alias("business_name"), F.coalesce(F.col("business_address"), F.lit("")).alias("business_address"), *keep,
     ).filter("entity_id <> ''")
     if all_scripts:
         df = df.withColumn("v", unicode_views("business_name", "business_address"))

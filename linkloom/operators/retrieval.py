@@ -16,14 +16,24 @@ KEY = ["country", "target_source", "kind", "value"]
 SCORE_DIGITS = 6
 
 
+def exploded(records: DataFrame, *columns: str) -> DataFrame:
+    """The columns, kind and value: a row per key of a record.
+
+    The outer explode is on purpose: from the inner one the optimizer infers a filter on the keys' number and carries it, with
+    the whole expression of the keys, down to the scan, where every key would be found once more for each use.
+    """
+    rows = records.select(*columns, F.explode_outer("block_keys").alias("k"))
+    return rows.select(*columns, "k.kind", "k.value").filter("kind is not null")
+
+
 def postings(targets: DataFrame) -> DataFrame:
     """entity_id, country, target_source, kind, value: a row per target and key."""
-    return targets.select("entity_id", "country", "target_source", F.explode("block_keys").alias("k")).select("entity_id", "country", "target_source", "k.kind", "k.value")
+    return exploded(targets, "entity_id", "country", "target_source")
 
 
 def posting_stats(posts: DataFrame, config: Blocking) -> DataFrame:
-    """How many targets have each value, and how many may."""
-    return posts.groupBy(*KEY).agg(F.count_distinct("entity_id").alias("posting_df")).withColumn("posting_limit", config.of("limit", F.col("kind")))
+    """How many targets have each value, and how many may. Ids are unique and a record's keys distinct, so rows are targets."""
+    return posts.groupBy(*KEY).agg(F.count(F.lit(1)).alias("posting_df")).withColumn("posting_limit", config.of("limit", F.col("kind")))
 
 
 def eligible(stats: DataFrame) -> DataFrame:
@@ -32,8 +42,7 @@ def eligible(stats: DataFrame) -> DataFrame:
 
 def query_keys(queries: DataFrame, sources: list[str], keys: DataFrame, config: Blocking) -> DataFrame:
     """The rarest keys of every query in every source, as many of a kind as its budget allows."""
-    own = queries.select("entity_id", "country", F.explode(F.array(*[F.lit(s) for s in sources])).alias("target_source"), "block_keys")
-    own = own.select("entity_id", "country", "target_source", F.explode("block_keys").alias("k")).select("entity_id", "country", "target_source", "k.kind", "k.value")
+    own = exploded(queries, "entity_id", "country").withColumn("target_source", F.explode(F.array(*[F.lit(s) for s in sources])))
     order = Window.partitionBy("entity_id", "target_source", "kind").orderBy("posting_df", "value")
     own = own.join(keys, KEY).withColumn("key_rank", F.row_number().over(order))
     return own.filter(F.col("key_rank") <= config.of("budget", F.col("kind")))

@@ -47,10 +47,11 @@ def _edges(spark, sf) -> DataFrame:
 
 
 def _scored(spark, sf):
-    """Composite pairs with labels and a score that any engine can compute."""
+    """Queries, composite pairs with labels and a score that any engine can compute, and the known links, which are kept."""
+    edges = _edges(spark, sf).persist()
     q, t, pairs = _features(spark, sf, True)
     own = F.round((F.col("name_edit_similarity") + F.col("address_edit_similarity")) / 2, 6)
-    return q, truth.labelled(pairs, _edges(spark, sf)).withColumn("probability", own)
+    return q, truth.labelled(pairs, edges).withColumn("probability", own), edges
 
 
 def _rounded(df: DataFrame, digits: int = 9) -> DataFrame:
@@ -111,7 +112,7 @@ def numbers_postal(spark, sf):
 
 def _keys(spark, sf, config):
     df = registry(spark, sf).select("entity_id", T.business_name(F.col("business_name")).alias("n"), T.business_address(F.col("business_address")).alias("a"))
-    return with_blocking_keys(df, "n", "a", config).select("entity_id", F.explode("block_keys").alias("k")).select("entity_id", "k.kind", "k.value")
+    return retrieval.exploded(with_blocking_keys(df, "n", "a", config), "entity_id")
 
 
 @query
@@ -204,7 +205,7 @@ def exclusive_assignment(spark, sf):
 
 @query
 def source_thresholds(spark, sf):
-    _, scored = _scored(spark, sf)
+    _, scored, _ = _scored(spark, sf)
     return decisions.over_thresholds(scored, {"S2": 0.5, "S3": 0.6}).select("source1_id", "target_id", "target_source", "probability")
 
 
@@ -222,31 +223,31 @@ def top_candidates(spark, sf):
 
 @query
 def sweep_cap_threshold(spark, sf):
-    q, scored = _scored(spark, sf)
-    return _rounded(evaluation.sweep(q, scored, _edges(spark, sf)))
+    q, scored, edges = _scored(spark, sf)
+    return _rounded(evaluation.sweep(q, scored, edges))
 
 
 @query
 def operating_point(spark, sf):
-    q, scored = _scored(spark, sf)
-    return _rounded(evaluation.operating_point(evaluation.best_per_cap(evaluation.sweep(q, scored, _edges(spark, sf))))).select("cap_per_source", "threshold", "macro_f0_5")
+    q, scored, edges = _scored(spark, sf)
+    return _rounded(evaluation.operating_point(evaluation.best_per_cap(evaluation.sweep(q, scored, edges)))).select("cap_per_source", "threshold", "macro_f0_5")
 
 
 @query
 def source_threshold_sweep(spark, sf):
-    q, scored = _scored(spark, sf)
-    return evaluation.source_sweep(q, scored, _edges(spark, sf), 8, {"S2": 0.5, "S3": 0.6}, "S2")
+    q, scored, edges = _scored(spark, sf)
+    return evaluation.source_sweep(q, scored, edges, 8, {"S2": 0.5, "S3": 0.6}, "S2")
 
 
 @query
 def fixed_threshold_score(spark, sf):
-    q, scored = _scored(spark, sf)
-    return _rounded(evaluation.fixed_score(q, scored, _edges(spark, sf), 8, {"S2": 0.5, "S3": 0.6}))
+    q, scored, edges = _scored(spark, sf)
+    return _rounded(evaluation.fixed_score(q, scored, edges, 8, {"S2": 0.5, "S3": 0.6}))
 
 
 @query
 def confusion_counts(spark, sf):
-    _, scored = _scored(spark, sf)
+    _, scored, _ = _scored(spark, sf)
     return reports.confusion(scored.withColumn("predicted", F.col("probability") >= 0.5))
 
 

@@ -13,9 +13,11 @@ from linkloom.operators.records import prepare_records
 
 
 def prepared(s1: DataFrame, s2: DataFrame, s3: DataFrame, config: Blocking, all_scripts: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Queries and targets. They are kept, on disk where memory is short: a run reads them four times."""
-    targets = prepare_records(s2, config, "S2", all_scripts).unionByName(prepare_records(s3, config, "S3", all_scripts))
-    return prepare_records(s1, config, None, all_scripts).persist(), targets.persist()
+    """Queries and targets, prepared in one pass and kept, on disk where memory is short: a run reads them four times."""
+    columns = ["entity_id", "business_name", "business_address", "country"]
+    every = [df.select(*columns, F.lit(name).cast("string").alias("target_source")) for df, name in ((s1, None), (s2, "S2"), (s3, "S3"))]
+    df = prepare_records(every[0].unionByName(every[1]).unionByName(every[2]), config, None, all_scripts, keep=("target_source",)).persist()
+    return df.filter("target_source is null").drop("target_source"), df.filter("target_source is not null")
 
 
 @dataclass
