@@ -2,31 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
-
-SCORE_DIGITS = 6
-
-
-def _better(c: str) -> Column:
-    """The larger of a feature's native and romanised value."""
-    return F.greatest(F.col(c), F.col(f"roman_{c}"))
+from functools import reduce
+from operator import add, and_, or_
 
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-def rule_matches(features: DataFrame) -> DataFrame:
-    """Pairs that meet one of four fixed rules, with their rule_score, rounded."""
-    name, words, exact_name = _better("name_edit_similarity"), _better("name_token_jaccard"), _better("exact_name")
-    address, place, exact_address = _better("address_edit_similarity"), _better("address_token_jaccard"), _better("exact_address")
-    support = (F.col("postal_equal") > 0) | (F.col("house_number_equal") > 0) | (F.col("number_jaccard") >= 0.5)
-    # Weights and limits of the rules.
-    weights = [(0.37, name), (0.12, words), (0.27, address), (0.10, place), (0.06, F.col("house_number_equal")), (0.05, F.col("postal_equal")), (0.18, exact_name), (0.08, exact_address), (0.04, F.col("candidate_rank_reciprocal"))]
-    score = sum((F.lit(w) * c for w, c in weights[1:]), F.lit(weights[0][0]) * weights[0][1])
-    same_place = (exact_address >= 1) | support
-    same_name = (exact_name >= 1) & ((address >= 0.25) | (place >= 0.30) | same_place)
-    near_name = (name >= 0.94) & (words >= 0.55) & ((address >= 0.45) | (place >= 0.35) | same_place)
-    like_name = (name >= 0.87) & (words >= 0.50) & ((address >= 0.70) | (place >= 0.55))
-    near_place = ((address >= 0.93) | (place >= 0.78) | (exact_address >= 1)) & (name >= 0.75) & (words >= 0.35)
-    return features.withColumn("rule_score", F.round(score, SCORE_DIGITS)).filter(same_name | near_name | like_name | near_place)
+#: Digits of rule scores, and of the scores that lists are ordered by.
+SCORE_DIGITS, ORDER_DIGITS = 6, 8
+
+
+#: What a feature adds to the rule score; least values of the rules. A rule is met if all its first values are
+#: reached and one of its others; ``same_place`` stands for an equal address, postal code or house, or half of the numbers.
+RULE_WEIGHTS = {
+    "name": 0.37, "name_words": 0.12, "address": 0.27, "address_words": 0.10, "house_number_equal": 0.06, "postal_equal": 0.05, "exact_name": 0.18, "exact_address": 0.08,
+    "candidate_rank_reciprocal": 0.04,
+}
+RULES = (
+    ({"exact_name": 1}, {"address": 0.25, "address_words": 0.30, "same_place": 1}),
+    ({"name": 0.94, "name_words": 0.55}, {"address": 0.45, "address_words": 0.35, "same_place": 1}),
+    ({"name": 0.87, "name_words": 0.50}, {"address": 0.70, "address_words": 0.55}),
+    ({"name": 0.75, "name_words": 0.35}, {"address": 0.93, "address_words": 0.78, "exact_address": 1}),
+)
+_MEASURES = {"name": "name_edit_similarity", "name_words": "name_token_jaccard", "address": "address_edit_similarity", "address_words": "address_token_jaccard", "exact_name": "exact_name", "exact_address": "exact_address"}
+
+
+def rule_matches(features: DataFrame, rules=RULES, weights: dict[str, float] = RULE_WEIGHTS) -> DataFrame:
+    """Pairs that meet one of the rules, with their rule_score, rounded. Of a feature's native and romanised value the larger counts."""
+    value = {m: F.greatest(F.col(c), F.col(f"roman_{c}")) for m, c in _MEASURES.items()}
+    of = lambda m: value.get(m, F.col(m) if m not in value else None)
+    numbers = F.when(F.col("number_jaccard") >= 0.5, 1.0).otherwise(0.0)
+    value["same_place"] = F.greatest(value["exact_address"], F.col("postal_equal"), F.col("house_number_equal"), numbers)
+    reached = lambda limits: [of(m) >= limit for m, limit in limits.items()]
+    met = [reduce(and_, reached(every)) & reduce(or_, reached(some)) for every, some in rules]
+    score = reduce(add, [F.lit(w) * of(m) for m, w in weights.items()])
+    return features.withColumn("rule_score", F.round(score, SCORE_DIGITS)).filter(reduce(or_, met))
 
 
 def over_thresholds(scored: DataFrame, thresholds: dict[str, float] | float, score: str = "probability") -> DataFrame:
@@ -45,8 +55,11 @@ def exclusive(pairs: DataFrame, score: str) -> DataFrame:
 
 
 def packed_lists(all_queries: DataFrame, pairs: DataFrame, score: str, name: str) -> DataFrame:
-    """One row per query: its targets joined by commas, best score first, then source and id; empty if it has none."""
-    entry = F.struct((-F.col(score)).alias("s"), F.col("target_source").alias("o"), F.col("target_id").alias("t"))
+    """One row per query: its targets joined by commas, best score first, then source and id; empty if it has none.
+
+    Scores count to 8 digits: those that agree so far are equal.
+    """
+    entry = F.struct((-F.round(score, ORDER_DIGITS)).alias("s"), F.col("target_source").alias("o"), F.col("target_id").alias("t"))
     lists = pairs.groupBy("source1_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["t"]), ",").alias(name))
     return all_queries.select(F.col("entity_id").alias("source1_id")).join(lists, "source1_id", "left").select(F.col("source1_id").alias("source1_entity_id"), F.coalesce(name, F.lit("")).alias(name))
 

@@ -116,8 +116,20 @@ def fixed_score(queries: DataFrame, scored: DataFrame, edges: DataFrame, cap: in
     )
 
 
-def target_sweep(queries: DataFrame, scored: DataFrame, edges: DataFrame, caps=TARGET_CAPS, thresholds=TARGET_THRESHOLDS, score: str = "probability") -> DataFrame:
-    """Macro F0.5 over queries when every target goes to its best query among its cap first, for every cap and threshold.
+def target_recall(scored: DataFrame, edges: DataFrame, caps=TARGET_CAPS) -> DataFrame:
+    """cap, candidate_pairs and candidate_recall: how many targets have their known query among the first of each cap, of all that have one."""
+    grid = _grid(scored.sparkSession, cap=list(caps))
+    first = scored.groupBy("target_id").agg(F.min(F.when(F.col("label") == 1, F.col("candidate_rank"))).alias("at"), F.collect_list("candidate_rank").alias("ranks"))
+    hits = first.join(grid, F.lit(True)).groupBy("cap").agg(F.count_if(F.col("at") <= F.col("cap")).alias("hits"), F.sum(F.size(F.filter("ranks", lambda r: r <= F.col("cap")))).alias("candidate_pairs"))
+    known = F.broadcast(edges.agg(F.count_distinct("target_id").alias("known")))  # one row
+    out = grid.join(hits, "cap", "left").crossJoin(known)
+    recall = F.when(F.col("known") > 0, F.round(F.coalesce("hits", F.lit(0)) / F.col("known"), 9)).otherwise(0.0)
+    return out.select("cap", F.coalesce("candidate_pairs", F.lit(0)).cast("long").alias("candidate_pairs"), recall.alias("candidate_recall"))
+
+
+def target_cells(references: DataFrame, scored: DataFrame, edges: DataFrame, by: list[str] = [], caps=TARGET_CAPS, thresholds=TARGET_THRESHOLDS, score: str = "probability") -> DataFrame:  # noqa: B006
+    """Every target goes to its best query among its cap first: for each cap, threshold and group of queries (the columns
+    ``by`` of ``references``, few values) the queries n, the sum f of their F0.5, true and predicted pairs.
 
     ``scored`` has target_id, candidate_rank within the target, source1_id, the score and label.
     """
@@ -125,12 +137,45 @@ def target_sweep(queries: DataFrame, scored: DataFrame, edges: DataFrame, caps=T
     order = Window.partitionBy("cap", "target_id").orderBy(F.desc("p"), "candidate_rank")
     best = scored.select("target_id", "source1_id", "candidate_rank", F.col(score).alias("p"), "label").join(_grid(spark, cap=list(caps)), F.col("candidate_rank") <= F.col("cap"))
     best = best.withColumn("k", F.row_number().over(order)).filter("k = 1")
-    counts = best.join(_grid(spark, threshold=list(thresholds)), F.col("p") >= F.col("threshold")).groupBy("cap", "threshold", "source1_id").agg(F.sum("label").alias("tp"), F.count(F.lit(1)).alias("predicted"))
-    truth = truth_counts(queries, edges)
-    per = counts.join(truth, "source1_id").withColumn("gain", f_half(F.col("tp"), F.col("predicted"), F.col("truth_count")) - f_half(F.lit(0), F.lit(0), F.col("truth_count")))
-    all_ = truth.agg(F.count(F.lit(1)).alias("n"), F.sum(f_half(F.lit(0), F.lit(0), F.col("truth_count"))).alias("empty"))
-    out = _grid(spark, cap=list(caps), threshold=list(thresholds)).join(per.groupBy("cap", "threshold").agg(F.sum("gain").alias("gain")), ["cap", "threshold"], "left").crossJoin(F.broadcast(all_))  # one row
-    return out.select(F.col("cap").alias("cap_per_target"), "threshold", F.round((F.col("empty") + F.coalesce("gain", F.lit(0.0))) / F.col("n"), 9).alias("macro_f0_5"))
+    counts = best.join(_grid(spark, threshold=list(map(float, thresholds))), F.col("p") >= F.col("threshold")).groupBy("cap", "threshold", "source1_id").agg(F.sum("label").alias("tp"), F.count(F.lit(1)).alias("predicted"))
+    truth = truth_counts(references, edges).join(references.select(F.col("entity_id").alias("source1_id"), *by).dropDuplicates(["source1_id"]), "source1_id")
+    nothing = f_half(F.lit(0), F.lit(0), F.col("truth_count"))
+    per = counts.join(truth, "source1_id").withColumn("gain", f_half(F.col("tp"), F.col("predicted"), F.col("truth_count")) - nothing)
+    sums = per.groupBy("cap", "threshold", *by).agg(F.sum("gain").alias("gain"), F.sum("tp").alias("tp"), F.sum("predicted").alias("predicted"))
+    groups = truth.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(nothing).alias("empty"), F.count_if(F.col("truth_count") > 0).alias("with_truth"))
+    out = _grid(spark, cap=list(caps), threshold=list(map(float, thresholds))).join(F.broadcast(groups), F.lit(True))  # a row per group
+    out = out.join(sums, ["cap", "threshold", *by], "left")
+    whole = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return out.select("cap", "threshold", *by, "n", (F.col("empty") + F.coalesce("gain", F.lit(0.0))).alias("f"), whole("tp"), whole("predicted"), "with_truth")
+
+
+def target_sweep(queries: DataFrame, scored: DataFrame, edges: DataFrame, caps=TARGET_CAPS, thresholds=TARGET_THRESHOLDS, score: str = "probability") -> DataFrame:
+    """Macro F0.5 over queries when every target goes to its best query among its cap first, and the candidates' recall, for every cap and threshold."""
+    cells = target_cells(queries, scored, edges, [], caps, thresholds, score).join(target_recall(scored, edges, caps).select("cap", "candidate_recall"), "cap")
+    return cells.select(F.col("cap").alias("cap_per_target"), "threshold", F.round(F.col("f") / F.col("n"), 9).alias("macro_f0_5"), "candidate_recall")
+
+
+def target_audit(references: DataFrame, scored: DataFrame, edges: DataFrame, audit_fold: int, caps=TARGET_CAPS, thresholds=TARGET_THRESHOLDS, score: str = "probability", countries=("US", "India", "France")) -> tuple[DataFrame, DataFrame]:
+    """Calibrate on the queries outside of ``audit_fold`` (column fold of ``references``), audit on those in it.
+
+    The first result is one row: the operating point, its macro F0.5 on both parts, what it predicts outside the audit fold, and
+    its candidates. The second has the point's macro F0.5 outside the audit fold by country, other countries together.
+    """
+    country = F.when(F.col("country").isin(*countries), F.col("country")).otherwise("Other")
+    refs = references.select("entity_id", (F.col("fold") == audit_fold).alias("audit"), country.alias("country"))
+    cells = target_cells(refs, scored, edges, ["audit", "country"], caps, thresholds, score)
+    part = lambda audit, name: F.round(F.sum(F.when(F.col("audit") == audit, F.col("f"))) / F.sum(F.when(F.col("audit") == audit, F.col("n"))), 9).alias(name)
+    outside = ~F.col("audit")
+    total = lambda c, when, name: F.coalesce(F.sum(F.when(when, F.col(c))), F.lit(0)).cast("long").alias(name)
+    grid = cells.groupBy(F.col("cap").alias("cap_per_target"), "threshold").agg(
+        part(False, "macro_f0_5"), part(True, "audit_macro_f0_5"), total("n", ~outside, "audit_source1_entities"), total("with_truth", F.lit(True), "truth_entities"),
+        total("tp", outside, "matched_pairs"), total("predicted", outside, "predicted_pairs"),
+    )
+    point = target_operating_point(grid)
+    recall = target_recall(scored, edges, caps).withColumnRenamed("cap", "cap_per_target")
+    at = F.broadcast(point.select(F.col("cap_per_target").alias("cap"), "threshold"))  # one row
+    by_country = cells.filter(outside).join(at, ["cap", "threshold"]).select("country", F.round(F.col("f") / F.col("n"), 9).alias("macro_f0_5"))
+    return point.join(recall, "cap_per_target"), by_country
 
 
 def target_operating_point(swept: DataFrame, tolerance: float = 0.0002) -> DataFrame:

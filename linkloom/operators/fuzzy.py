@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from linkloom.functions import text as T
 from linkloom.functions.vocabulary import POSTAL_LENGTHS
 
+#: Names and order of the features (fixed values).
 FEATURES = """name_ratio name_token_sort name_token_set name_partial name_core_ratio name_core_token_set name_translit_ratio
 name_translit_token_set name_translit_gram_jaccard name_gram_jaccard name_gram_containment name_token_jaccard name_token_containment
 name_common_tokens name_prefix_equal name_length_ratio name_exact core_name_exact address_ratio address_token_sort address_token_set
@@ -18,6 +21,9 @@ postal_equal postal_conflict name_missing address_missing target_name_length ref
 reference_address_length name_ratio_joint name_ratio_address name_ratio_rank address_ratio_rank joint_rank name_rank address_rank
 joint_score name_score address_score best_rank rank_gap rrf_score target_is_s2 country_us country_india country_france""".split()
 
+#: Those that come from ratios of letters.
+RATIO_FEATURES = [f for f in FEATURES if "ratio" in f and f != "name_length_ratio" or f.endswith(("_token_sort", "_token_set")) or f == "name_partial"]
+
 
 def common_subsequence(a: str, b: str) -> int:
     """Length of the longest common subsequence, a bit per character of ``a``."""
@@ -64,11 +70,31 @@ def partial(a: str, b: str) -> float:
         return 0.0
     if len(a) > len(b):
         a, b = b, a
-    n = len(a)
-    parts = {b[max(0, k) : k + n] for k in range(1 - n, len(b))}
-    best = max(ratio(a, p) for p in parts)
-    if len(b) == n:
-        best = max(best, *(ratio(b, a[max(0, k) : k + n]) for k in range(1 - n, n)))
+    best = _best_part(a, b)
+    return max(best, _best_part(b, a)) if len(a) == len(b) else best
+
+
+def _best_part(a: str, b: str) -> float:
+    """Best ratio of ``a`` with a part of ``b``. Only parts that share enough letters to beat the best so far are compared."""
+    n, need = len(a), Counter(a)
+    have: Counter[str] = Counter()
+    common, bounds = 0, {}
+    for k in range(1 - n, len(b)):  # slide over b; count the letters that a and the part have in common
+        if k + n - 1 < len(b):
+            c = b[k + n - 1]
+            have[c] += 1
+            common += have[c] <= need[c]
+        if k > 0:
+            c = b[k - 1]
+            common -= have[c] <= need[c]
+            have[c] -= 1
+        part = b[max(0, k) : k + n]
+        bounds[part] = 2 * common / (n + len(part))
+    best = 0.0
+    for part, bound in sorted(bounds.items(), key=lambda x: -x[1]):
+        if bound <= best:
+            break
+        best = max(best, ratio(a, part))
     return best
 
 
@@ -112,15 +138,22 @@ def wide_features(pairs: DataFrame, targets: DataFrame, references: DataFrame) -
     also target_source.
     """
     views = ["raw_name", "name", "roman_name", "raw_address", "address", "roman_address"]
-    t = targets.select(F.col("entity_id").alias("target_id"), "country", "target_source", *[F.col(c).alias(f"t_{c}") for c in views])
-    r = references.select(F.col("entity_id").alias("rid"), *[F.col(c).alias(f"r_{c}") for c in views])
+    # Terms are found once a record, not once a pair.
+
+    def made_of(side: str) -> list[Column]:
+        grams = [T.trigrams(F.col(c)).alias(f"{side}_grams_{c}") for c in ("name", "address", "roman_name", "roman_address")]
+        words = [F.array_distinct(T.tokens(F.col(c))).alias(f"{side}_words_{c}") for c in ("name", "address")]
+        return [*[F.col(c).alias(f"{side}_{c}") for c in views], *grams, *words]
+
+    t = targets.select(F.col("entity_id").alias("target_id"), "country", "target_source", *made_of("t"))
+    r = references.select(F.col("entity_id").alias("rid"), *made_of("r"))
     df = pairs.join(t, "target_id").join(r, "rid")
     c, both = F.col, (lambda v: (F.col(f"t_{v}"), F.col(f"r_{v}")))
     wanted = {"raw_name": ["ratio"], "name": [], "roman_name": ["ratio", "token_set"], "address": ["ratio", "token_sort", "token_set"], "roman_address": ["ratio"]}
     for v, which in wanted.items():
         df = df.withColumn(f"f_{v}", fuzzy_ratios(*both(v), *which))
-    grams = {v: _overlap(*[T.trigrams(x) for x in both(v)]) for v in ("name", "address", "roman_name", "roman_address")}
-    words = {v: _overlap(*[F.array_distinct(T.tokens(x)) for x in both(v)]) for v in ("name", "address")}
+    grams = {v: _overlap(*both(f"grams_{v}")) for v in ("name", "address", "roman_name", "roman_address")}
+    words = {v: _overlap(*both(f"words_{v}")) for v in ("name", "address")}
     nums = [F.regexp_extract_all(x, F.lit("(?U)(\\d+)"), F.lit(1)) for x in both("raw_address")]
     n_set = [F.array_distinct(x) for x in nums]
     n_jaccard, n_contained, n_common = _overlap(*n_set)

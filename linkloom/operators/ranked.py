@@ -125,6 +125,33 @@ def recall_at(found: DataFrame, edges: DataFrame, ks=(1, 2, 3, 4, 8, 12, 24), by
     return rows.withColumn("recall", F.round(F.col("hits") / F.col("links"), 9))
 
 
-def misses(found: DataFrame, edges: DataFrame, most: int = 100) -> DataFrame:
-    """Some known links that no view found."""
-    return edges.join(found.select("target_id", F.col("rid").alias("source1_id")).distinct(), ["target_id", "source1_id"], "left_anti").orderBy("target_id", "source1_id").limit(most)
+def misses(found: DataFrame, edges: DataFrame, references: DataFrame | None = None, most: int = 100) -> DataFrame:
+    """Some known links that no view found, with their reference's name and address where ``references`` are given."""
+    out = edges.join(found.select("target_id", F.col("rid").alias("source1_id")).distinct(), ["target_id", "source1_id"], "left_anti").orderBy("target_id", "source1_id").limit(most)
+    if references is None:
+        return out
+    return out.join(references.select(F.col("entity_id").alias("source1_id"), F.col("business_name").alias("true_name"), F.col("business_address").alias("true_address")), "source1_id", "left")
+
+
+def sampled_edges(edges: DataFrame, fold_of, modulus: int = 500) -> DataFrame:
+    """Known links of a sample of queries: those whose hash (``fold_of(column, modulus)``) is 0."""
+    return edges.filter(fold_of(F.col("source1_id"), modulus) == 0)
+
+
+def audit(targets: DataFrame, references: DataFrame, edges: DataFrame, fold_of, modulus: int = 500, views: dict[str, dict[str, float]] = VIEWS, all_scripts: bool = False) -> dict[str, DataFrame]:
+    """Retrieval of a sampled part of the known links: ``retrieved`` (a row per target, view and rank), ``recall`` of all, ``by_country``, and ``misses``.
+
+    Only targets of sampled links are searched, against all references.
+    """
+    edges = sampled_edges(edges, fold_of, modulus)
+    asked = targets.join(edges.select(F.col("target_id").alias("entity_id")).distinct(), "entity_id", "left_semi")
+    fields = sorted({f for v in views.values() for f in v})
+    found = search(record_fields(asked, all_scripts), index(record_fields(references, all_scripts), fields), views)
+    known = edges.join(asked.select(F.col("entity_id").alias("target_id"), "country"), "target_id")
+    return {"retrieved": found, "recall": recall_at(found, known), "by_country": recall_at(found, known, by=["country"]), "misses": misses(found, known, references)}
+
+
+def write_audit(parts: dict[str, DataFrame], path: str) -> None:
+    """An audit's tables as JSON, a folder each."""
+    for name, df in parts.items():
+        df.write.mode("overwrite").json(f"{path}/{name}")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,3 +42,23 @@ def confusion(scored: DataFrame, predicted: str = "predicted") -> DataFrame:
     """True positives, false positives and false negatives among labelled pairs."""
     p = F.col(predicted)
     return scored.agg(F.count_if(p & (F.col("label") == 1)).alias("tp"), F.count_if(p & (F.col("label") == 0)).alias("fp"), F.count_if(~p & (F.col("label") == 1)).alias("fn"))
+
+
+_PLACE = re.compile(r"\[\[([\w.]+)(?::([^\]]*))?\]\]")
+
+
+def filled(template: str, metrics: dict) -> str:
+    """A text with its places ``[[name]]`` or ``[[name:format]]`` filled from nested metrics (``[[test.pairs:,]]``).
+
+    A place that the metrics don't have is an error, as is a format that its value doesn't take.
+    """
+
+    def of(m: re.Match) -> str:
+        value = metrics
+        for part in m[1].split("."):
+            if not isinstance(value, dict) or part not in value:
+                raise KeyError(f"nothing to fill {m[0]} with")
+            value = value[part]
+        return format(value, m[2] or "")
+
+    return _PLACE.sub(of, template)

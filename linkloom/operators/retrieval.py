@@ -1,7 +1,7 @@
 """Retrieval over frequency-pruned blocks: postings, budgets, hits, scores, ranks.
 
-Every step is a DataFrame of its own. Values too frequent in a source are dropped on counts, which are aggregated before
-the shuffle, so a very common value never meets its own postings. Scores are rounded before they are ranked: the sum of
+Every step is a DataFrame of its own. Values too frequent in a source are found on counts, which are aggregated before the
+shuffle; the most frequent of them are dropped where they are read, the others as their postings meet the counts. Scores are rounded before they are ranked: the sum of
 weights may come in any order.
 """
 
@@ -14,6 +14,11 @@ from .blocking import ADDRESS_COMPOSITES, NAME_COMPOSITES, Blocking
 
 KEY = ["country", "target_source", "kind", "value"]
 SCORE_DIGITS = 6
+#: Values over their limit that all tasks are told, the most frequent ones: so many short rows at most.
+HOT_VALUES = 10_000
+#: What evidence adds to a retrieval score, by feature (fixed values); the second for composite blocks only.
+FACTORS = {"exact_name_hit": 12.0, "exact_address_hit": 12.0, "postal_house_hit": 6.0, "name_token_hits": 0.75, "address_token_hits": 0.55, "name_gram_hits": 0.20, "address_gram_hits": 0.15}
+COMPOSITE_FACTORS = {"roman_exact_name_hit": 12.0, "roman_exact_address_hit": 12.0, "name_composite_hits": 1.25, "address_composite_hits": 1.0}
 
 
 def exploded(records: DataFrame, *columns: str) -> DataFrame:
@@ -40,9 +45,19 @@ def eligible(stats: DataFrame) -> DataFrame:
     return stats.filter("posting_df <= posting_limit").select(*KEY, "posting_df")
 
 
-def query_keys(queries: DataFrame, sources: list[str], keys: DataFrame, config: Blocking) -> DataFrame:
-    """The rarest keys of every query in every source, as many of a kind as its budget allows."""
+def without_hot(rows: DataFrame, stats: DataFrame, most: int = HOT_VALUES) -> DataFrame:
+    """Rows without the most frequent of the values that are over their limit: they go before anything is shuffled by value.
+
+    The less frequent of these values are dropped by the joins with eligible keys, so results are the same.
+    """
+    top = stats.filter("posting_df > posting_limit").orderBy(F.desc("posting_df"), *KEY).limit(most).select(*KEY)
+    return rows.join(F.broadcast(top), KEY, "left_anti")
+
+
+def query_keys(queries: DataFrame, sources: list[str], keys: DataFrame, config: Blocking, stats: DataFrame | None = None) -> DataFrame:
+    """The rarest keys of every query in every source, as many of a kind as its budget allows. With ``stats``, hot values go first."""
     own = exploded(queries, "entity_id", "country").withColumn("target_source", F.explode(F.array(*[F.lit(s) for s in sources])))
+    own = own if stats is None else without_hot(own, stats)
     order = Window.partitionBy("entity_id", "target_source", "kind").orderBy("posting_df", "value")
     own = own.join(keys, KEY).withColumn("key_rank", F.row_number().over(order))
     return own.filter(F.col("key_rank") <= config.of("budget", F.col("kind")))
@@ -71,13 +86,13 @@ def evidence(hits: DataFrame, config: Blocking) -> DataFrame:
         "name_token_hits": _times("name_token"), "address_token_hits": _times("address_token"),
         "name_gram_hits": _times("name_gram"), "address_gram_hits": _times("address_gram"),
     }
-    factors = {"exact_name_hit": 12.0, "exact_address_hit": 12.0, "postal_house_hit": 6.0, "name_token_hits": 0.75, "address_token_hits": 0.55, "name_gram_hits": 0.20, "address_gram_hits": 0.15}
+    factors = dict(FACTORS)
     if config.composite:
         sums |= {
             "roman_exact_name_hit": _any("roman_exact_name"), "roman_exact_address_hit": _any("roman_exact_address"),
             "composite_key_hits": _times(*NAME_COMPOSITES, *ADDRESS_COMPOSITES), "name_composite_hits": _times(*NAME_COMPOSITES), "address_composite_hits": _times(*ADDRESS_COMPOSITES),
         }
-        factors |= {"roman_exact_name_hit": 12.0, "roman_exact_address_hit": 12.0, "name_composite_hits": 1.25, "address_composite_hits": 1.0}
+        factors |= COMPOSITE_FACTORS
     pairs = hits.withColumn("w", weight).groupBy("source1_id", "country", "target_source", "target_id").agg(*[e.alias(c) for c, e in sums.items()], F.round(F.sum("w"), SCORE_DIGITS).alias("rarity_score"))
     score = F.col("rarity_score")
     for c, f in factors.items():
@@ -94,5 +109,6 @@ def ranked(pairs: DataFrame, cap: int) -> DataFrame:
 def candidates(queries: DataFrame, targets: DataFrame, config: Blocking, sources: list[str] = ["S2", "S3"]) -> DataFrame:  # noqa: B006
     """Ranked candidate pairs of prepared queries and prepared targets."""
     posts = postings(targets)
-    keys = eligible(posting_stats(posts, config))
-    return ranked(evidence(block_hits(query_keys(queries, sources, keys, config), posts, keys), config), config.cap)
+    stats = posting_stats(posts, config)
+    keys = eligible(stats)
+    return ranked(evidence(block_hits(query_keys(queries, sources, keys, config, stats), without_hot(posts, stats), keys), config), config.cap)

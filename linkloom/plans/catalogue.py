@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from linkloom.functions import text as T
 from linkloom.functions.unicode_text import unicode_views as views_of
-from linkloom.operators import contracts, decisions, evaluation, features, folds, fuzzy, model, ranked, reports, retrieval, truth
+from linkloom.operators import contracts, decisions, evaluation, features, folds, fuzzy, model, ordinal, ranked, reports, retrieval, truth
 from linkloom.operators.blocking import BASE, COMPOSITE, Blocking, with_blocking_keys
+from linkloom.operators.keep import keep
 from linkloom.sources import tables
 
 from . import linkage
@@ -48,7 +49,7 @@ def _edges(spark, sf) -> DataFrame:
 
 def _scored(spark, sf):
     """Queries, composite pairs with labels and a score that any engine can compute, and the known links, which are kept."""
-    edges = _edges(spark, sf).persist()
+    edges = keep(_edges(spark, sf))
     q, t, pairs = _features(spark, sf, True)
     own = F.round((F.col("name_edit_similarity") + F.col("address_edit_similarity")) / 2, 6)
     return q, truth.labelled(pairs, edges).withColumn("probability", own), edges
@@ -278,8 +279,8 @@ def per_country_counts(spark, sf):
 
 @query
 def anti_containment(spark, sf):
-    """Known links that retrieval missed."""
-    return contracts.outside_candidates(_edges(spark, sf), _candidates(spark, sf, BASE)[2])
+    """Known links that are not among the candidates of S2: those whose target is of S3, and what retrieval missed."""
+    return contracts.outside_candidates(_edges(spark, sf), _candidates(spark, sf, BASE)[2].filter("target_source = 'S2'"))
 
 
 @query
@@ -339,12 +340,76 @@ def target_argmax_match(spark, sf):
     return decisions.best_per_target(fused, 0.03, "rrf").select("target_id", "rid", "rrf")
 
 
+def _target_scored(spark, sf):
+    """References, fused pairs with labels and a score that any engine can compute, and known links, all but references kept."""
+    fused = ranked.fuse(_ranked(spark, sf, ["nw", "ncw", "aw", "acw"], _WORD_VIEWS), views=["name", "address"])
+    edges, s1 = keep(truth.first_owner(_edges(spark, sf))), sources(spark, sf)[0]
+    return s1, keep(truth.labelled(fused.select("target_id", F.col("rid").alias("source1_id"), "candidate_rank", F.round(F.col("rrf") * 30, 6).alias("probability")), edges)), edges
+
+
 @query
 def target_sweep(spark, sf):
-    fused = ranked.fuse(_ranked(spark, sf, ["nw", "ncw", "aw", "acw"], _WORD_VIEWS), views=["name", "address"])
-    edges, s1 = truth.first_owner(_edges(spark, sf)), sources(spark, sf)[0]
-    scored = truth.labelled(fused.select("target_id", F.col("rid").alias("source1_id"), "candidate_rank", F.round(F.col("rrf") * 30, 6).alias("probability")), edges)
-    return evaluation.target_sweep(s1, scored, edges)
+    return evaluation.target_sweep(*_target_scored(spark, sf))
+
+
+def _target_audit(spark, sf):
+    s1, scored, edges = _target_scored(spark, sf)
+    s1 = s1.withColumn("fold", folds.md5_bucket(F.col("entity_id"), FOLDS))
+    return evaluation.target_audit(s1, scored, edges, FOLDS - 1, countries=("en", "de", "fr"))
+
+
+@query
+def target_calibration(spark, sf):
+    """The operating point calibrated on all folds but the last, audited on that."""
+    return _target_audit(spark, sf)[0]
+
+
+@query
+def target_country_scores(spark, sf):
+    return _target_audit(spark, sf)[1]
+
+
+@query
+def retrieval_audit(spark, sf):
+    """Recall by country on the known links of a fifth of the queries."""
+    s1, s2, s3 = sources(spark, sf)
+    return ranked.audit(s2.unionByName(s3), s1, truth.first_owner(_edges(spark, sf)), folds.md5_bucket, 5)["by_country"]
+
+
+def _by_id(df: DataFrame, key: str = "entity_id") -> DataFrame:
+    return df.orderBy(key)
+
+
+@query
+def match_accounting(spark, sf):
+    """The accounts of the known links as matches, against fewer queries and the targets of one source."""
+    _, s2, _ = sources(spark, sf)
+    lists = ordinal.with_ordinal(_by_id(packed_truth(spark, sf), "source1_entity_id"))
+    known = ordinal.with_ordinal(_by_id(sources(spark, sf)[0].filter(~F.col("entity_id").endswith("7"))))
+    return contracts.match_accounting(lists, known, s2.withColumn("target_source", F.lit("S2")))
+
+
+def _sequence(spark, sf) -> DataFrame:
+    return ordinal.with_sequence([_by_id(df.select("entity_id")) for df in sources(spark, sf)[1:]])
+
+
+@query
+def target_sequence(spark, sf):
+    """Targets numbered without gaps, S2 before S3."""
+    return _sequence(spark, sf)
+
+
+@query
+def sequence_coverage(spark, sf):
+    """Whether the numbers of targets, dealt to shards and put together again, cover every place once."""
+    return ordinal.coverage(_sequence(spark, sf).withColumn("shard", folds.md5_bucket(F.col("entity_id"), 6)))
+
+
+@query
+def wide_set_features(spark, sf):
+    """Those of the wide features that are no ratios of letters."""
+    df = wide_features(spark, sf)
+    return _rounded(df.drop(*fuzzy.RATIO_FEATURES))
 
 
 @query
@@ -392,7 +457,7 @@ def wide_features(spark, sf):
 
 @query
 def gbt_fit_score(spark, sf):
-    pairs = truth.labelled(_features(spark, sf, False)[2], _edges(spark, sf)).persist()
+    pairs = keep(truth.labelled(_features(spark, sf, False)[2], _edges(spark, sf)))
     fitted = model.fit(decisions.training_sample(pairs), features.BASE_FEATURES)
     return model.score(fitted, pairs, features.BASE_FEATURES).select("source1_id", "target_id", "label", "probability")
 
@@ -402,8 +467,8 @@ def crossfit_oof(spark, sf):
     pairs = truth.labelled(_features(spark, sf, False)[2], _edges(spark, sf))
     pairs = pairs.withColumn("rid_fold", folds.md5_bucket(F.col("source1_id"), FOLDS))
     # A matched target has its owner's fold.
-    pairs = pairs.withColumn("fold", F.when(F.col("label") == 1, F.col("rid_fold")).otherwise(folds.md5_bucket(F.col("target_id"), FOLDS))).persist()
-    return model.cross_fit(pairs, features.BASE_FEATURES, FOLDS)[0].select("source1_id", "target_id", "label", "probability")
+    pairs = keep(pairs.withColumn("fold", F.when(F.col("label") == 1, F.col("rid_fold")).otherwise(folds.md5_bucket(F.col("target_id"), FOLDS))))
+    return model.cross_fit(pairs, features.BASE_FEATURES, FOLDS).oof.select("source1_id", "target_id", "label", "probability")
 
 
 def _place(spark, name: str) -> str:
@@ -419,6 +484,15 @@ def parquet_roundtrip(spark, sf):
     return tables.merge_shards(spark, [path])
 
 
+@query
+def sharded_roundtrip(spark, sf):
+    """Records in four shards with manifests, put together again."""
+    path, rows = _place(spark, "shards"), registry(spark, sf).select("entity_id", "content")
+    for k in range(4):
+        tables.write_shard(rows.filter(folds.md5_bucket(F.col("entity_id"), 4) == k), path, k, 4)
+    return tables.finalize_shards(spark, path, 4, rows.count())[0]
+
+
 @query
 def tsv_roundtrip(spark, sf):
     path = _place(spark, "truth")

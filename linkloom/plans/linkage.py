@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from linkloom.operators import contracts, decisions, evaluation, features, folds, fuzzy, model, ranked, retrieval, truth
 from linkloom.operators.blocking import BASE, COMPOSITE, Blocking
+from linkloom.operators.keep import keep
 from linkloom.operators.records import prepare_records
 
 
@@ -16,7 +17,7 @@ def prepared(s1: DataFrame, s2: DataFrame, s3: DataFrame, config: Blocking, all_
     """Queries and targets, prepared in one pass and kept, on disk where memory is short: a run reads them four times."""
     columns = ["entity_id", "business_name", "business_address", "country"]
     every = [df.select(*columns, F.lit(name).cast("string").alias("target_source")) for df, name in ((s1, None), (s2, "S2"), (s3, "S3"))]
-    df = prepare_records(every[0].unionByName(every[1]).unionByName(every[2]), config, None, all_scripts, keep=("target_source",)).persist()
+    df = keep(prepare_records(every[0].unionByName(every[1]).unionByName(every[2]), config, None, all_scripts, keep=("target_source",)))
     return df.filter("target_source is null").drop("target_source"), df.filter("target_source is not null")
 
 
@@ -24,7 +25,7 @@ def prepared(s1: DataFrame, s2: DataFrame, s3: DataFrame, config: Blocking, all_
 class Linked:
     """What a run returns. ``matches`` has a pair per row, the lists a row per query.
 
-    Pairs and matches are persisted, for several results come from them; ``spark.catalog.clearCache()`` lets them go.
+    Pairs and matches are kept, for several results come from them: ``keep.release()`` lets them go, or the end of ``keep.holding()``.
     """
 
     candidates: DataFrame
@@ -51,11 +52,11 @@ class Linked:
 def rule_linkage(s1: DataFrame, s2: DataFrame, s3: DataFrame, all_scripts: bool = False) -> Linked:
     """Composite blocks, then fixed rules, then one owner per target. Nothing is learned."""
     q, t = prepared(s1, s2, s3, COMPOSITE, all_scripts)
-    pairs = retrieval.candidates(q, t, COMPOSITE).persist()
+    pairs = keep(retrieval.candidates(q, t, COMPOSITE))
     # Rules over features that are still expressions would give the optimizer every combination of both as a constraint.
-    found = features.pair_features(pairs, q, t, composite=True).persist()
+    found = keep(features.pair_features(pairs, q, t, composite=True))
     accepted = decisions.rule_matches(found).select(*features.PAIR, "rule_score")
-    return Linked(pairs, decisions.exclusive(accepted, "rule_score").persist(), "rule_score", q)
+    return Linked(pairs, keep(decisions.exclusive(accepted, "rule_score")), "rule_score", q)
 
 
 def boosted_linkage(train: tuple[DataFrame, DataFrame, DataFrame], edges: DataFrame, test: tuple[DataFrame, DataFrame, DataFrame], composite: bool = False, smoke: bool = False, all_scripts: bool = False, **trees) -> Linked:
@@ -68,15 +69,15 @@ def boosted_linkage(train: tuple[DataFrame, DataFrame, DataFrame], edges: DataFr
     names = features.COMPOSITE_FEATURES if composite else features.BASE_FEATURES
     n, ranges = folds.split_ranges(composite, smoke)
     q, t = prepared(*train, config, all_scripts)
-    q = q.withColumn("split", folds.split(folds.bucket(F.col("entity_id"), n), ranges)).filter("split is not null").persist()
+    q = q.withColumn("split", folds.split(folds.bucket(F.col("entity_id"), n), ranges)).filter("split is not null")
     pairs = features.pair_features(retrieval.candidates(q, t, config), q, t, composite)
-    known = truth.labelled(pairs, edges).join(q.select(F.col("entity_id").alias("source1_id"), "split"), "source1_id").persist()
+    known = keep(truth.labelled(pairs, edges).join(q.select(F.col("entity_id").alias("source1_id"), "split"), "source1_id"))
     fitted = model.fit(decisions.training_sample(known.filter("split = 'fit'")), names, **trees)
     held = "calibration" if composite else "validation"
 
     def part(split: str) -> tuple[DataFrame, DataFrame, DataFrame]:
         own = q.filter(F.col("split") == split)
-        return own, model.score(fitted, known.filter(F.col("split") == split), names).persist(), edges.join(own.select(F.col("entity_id").alias("source1_id")), "source1_id", "left_semi")
+        return own, keep(model.score(fitted, known.filter(F.col("split") == split), names)), edges.join(own.select(F.col("entity_id").alias("source1_id")), "source1_id", "left_semi")
 
     own, scored, links = part(held)
     point = evaluation.operating_point(evaluation.best_per_cap(evaluation.sweep(own, scored, links))).first().asDict()
@@ -88,8 +89,8 @@ def boosted_linkage(train: tuple[DataFrame, DataFrame, DataFrame], edges: DataFr
         metrics["audit"] = evaluation.fixed_score(*part("audit"), cap, limits).first().asDict()
     metrics["thresholds"] = limits
     tq, tt = prepared(*test, config, all_scripts)
-    found = retrieval.candidates(tq, tt, config).persist()
-    scored = model.score(fitted, features.pair_features(found, tq, tt, composite), names).filter(F.col("candidate_rank") <= cap).persist()
+    found = keep(retrieval.candidates(tq, tt, config))
+    scored = keep(model.score(fitted, features.pair_features(found, tq, tt, composite), names).filter(F.col("candidate_rank") <= cap))
     matches = decisions.over_thresholds(scored, limits)
     if composite:
         matches = decisions.exclusive(matches, "probability")

@@ -6,7 +6,7 @@ Each query is a chain of common table expressions; ``_sql`` takes the parts that
 from __future__ import annotations
 
 from linkloom.functions import vocabulary as V
-from linkloom.operators import features, fuzzy, ranked  # noqa: F401
+from linkloom.operators import features, folds, fuzzy, ranked
 from linkloom.operators.blocking import ADDRESS_COMPOSITES, BASE, COMPOSITE, NAME_COMPOSITES, Blocking
 
 
@@ -253,6 +253,96 @@ part("fused", """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY target
 part("tscored", """SELECT f.target_id, f.rid AS source1_id, f.candidate_rank, round(rrf * 30, 6) AS probability, CASE WHEN o.target_id IS NULL THEN 0 ELSE 1 END AS label
   FROM fused f LEFT JOIN owners o ON o.target_id = f.target_id AND o.source1_id = f.rid""", "fused", "owners")
 part("otruth", "SELECT entity_id AS source1_id, count(DISTINCT target_id) AS truth_count FROM s1 LEFT JOIN owners ON source1_id = entity_id GROUP BY 1", "s1", "owners")
+part("tbest", f"""SELECT cap, threshold, source1_id, sum(label) AS tp, count(*) AS predicted FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cap, target_id ORDER BY probability DESC, candidate_rank) AS k
+  FROM tscored, {_values('cap', V.TARGET_CAPS)} WHERE candidate_rank <= cap) WHERE k = 1), {_values('threshold', V.TARGET_THRESHOLDS)} WHERE probability >= threshold GROUP BY ALL""", "tscored")
+part("trecall", f"""SELECT cap, CAST((SELECT count(*) FROM tscored WHERE candidate_rank <= cap) AS BIGINT) AS candidate_pairs,
+  round(CAST((SELECT count(DISTINCT target_id) FROM tscored WHERE label = 1 AND candidate_rank <= cap) AS DOUBLE) / (SELECT count(DISTINCT target_id) FROM owners), 9) AS candidate_recall FROM {_values('cap', V.TARGET_CAPS)}""", "tscored", "owners")
+part("tcells", f"""SELECT g.cap, g.threshold, t.audit, t.country, count(*) AS n, sum({_FH}) AS f, sum(coalesce(tp, 0)) AS tp, sum(coalesce(predicted, 0)) AS predicted, count(*) FILTER (truth_count > 0) AS with_truth
+  FROM (SELECT * FROM {_values('cap', V.TARGET_CAPS)}, {_values('threshold', V.TARGET_THRESHOLDS)}) g CROSS JOIN (SELECT o.*, CASE WHEN r.country IN ('en', 'de', 'fr') THEN r.country ELSE 'Other' END AS country,
+    CAST(('0x' || substr(md5(o.source1_id), 1, 8)) AS BIGINT) % 5 = 4 AS audit FROM otruth o JOIN reg r ON r.entity_id = o.source1_id) t
+  LEFT JOIN tbest p ON p.cap = g.cap AND p.threshold = g.threshold AND p.source1_id = t.source1_id GROUP BY ALL""", "otruth", "reg", "tbest")
+part("tpoint", """SELECT * FROM (SELECT *, max(macro_f0_5) OVER () AS best FROM (SELECT cap, threshold, round(sum(f) FILTER (NOT audit) / sum(n) FILTER (NOT audit), 9) AS macro_f0_5, round(sum(f) FILTER (audit) / sum(n) FILTER (audit), 9) AS audit_macro_f0_5,
+  CAST(sum(n) FILTER (audit) AS BIGINT) AS audit_source1_entities, CAST(sum(with_truth) AS BIGINT) AS truth_entities, CAST(sum(tp) FILTER (NOT audit) AS BIGINT) AS matched_pairs, CAST(sum(predicted) FILTER (NOT audit) AS BIGINT) AS predicted_pairs
+  FROM tcells GROUP BY ALL)) WHERE macro_f0_5 >= best - 0.0002 ORDER BY cap, macro_f0_5 DESC, threshold DESC LIMIT 1""", "tcells")
+_X = "[^\\p{L}\\p{N}]+"
+
+
+def _fold(x: str) -> str:
+    return f"trim(regexp_replace(lower(strip_accents(replace({x}, 'ß', 'ss'))), '{_X}', ' ', 'g'))"
+
+
+part("uviews", f"""SELECT entity_id, source, country, raw_name, address, array_to_string({_without(_tokens('raw_name'), [*V.LEGAL_WIDE, *V.STOP_WIDE])}, ' ') AS name FROM (
+  SELECT entity_id, source, country, {_fold(f"replace({_no_web('business_name')}, '&', ' and ')")} AS raw_name, {_short(_fold(_no_web('business_address')), V.ADDRESS_WIDE)} AS address FROM reg)""", "reg")
+part("fusedv0", f"SELECT target_id, rid, {', '.join(_AT.format(v, c, d, s) for v in ('joint', 'name', 'address') for c, d, s in (('view_rank', 25, 'rank'), ('score', 0.0, 'score')))} FROM found_v GROUP BY ALL", "found_v")
+part("fusedv", """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY target_id ORDER BY rrf DESC, joint_rank, name_rank, address_rank, rid) AS candidate_rank FROM (
+  SELECT *, round(1.0::DOUBLE / (60 + joint_rank) + 1.0::DOUBLE / (60 + name_rank) + 1.0::DOUBLE / (60 + address_rank), 10) AS rrf FROM fusedv0)) WHERE candidate_rank <= 8""", "fusedv0")
+_POSTAL = "coalesce(list_filter({0}, lambda t: length(t) IN (5, 6))[-1], '')"  # none of the countries has a rule of its own
+part("uterms", f"""SELECT *, {_grams('name')} AS gn, {_grams('address')} AS ga, list_distinct({_tokens('name')}) AS wn, list_distinct({_tokens('address')}) AS wa, {_tokens('name')} AS ts,
+  regexp_extract_all(address, '[0-9]+') AS runs FROM uviews""", "uviews")
+
+
+def _set_features() -> str:
+    some = lambda a: f"len(t.{a}) > 0 AND len(r.{a}) > 0"
+    jac = lambda a: f"CASE WHEN {some(a)} THEN {_jac(f't.{a}', f'r.{a}')} ELSE 0 END"
+    con = lambda a: f"CASE WHEN {some(a)} THEN CAST({_inter(f't.{a}', f'r.{a}')} AS DOUBLE) / least(len(list_distinct(t.{a})), len(list_distinct(r.{a}))) ELSE 0 END"
+    com = lambda a: _inter(f"t.{a}", f"r.{a}")
+    flag = lambda x: f"CASE WHEN {x} THEN 1 ELSE 0 END"
+    tp, rp = _POSTAL.format("t.runs"), _POSTAL.format("r.runs")
+    ranks = "list_sort([f.joint_rank, f.name_rank, f.address_rank])"
+    made = {
+        "name_translit_gram_jaccard": jac("gn"), "name_gram_jaccard": jac("gn"), "name_gram_containment": con("gn"), "name_token_jaccard": jac("wn"), "name_token_containment": con("wn"), "name_common_tokens": com("wn"),
+        "name_prefix_equal": flag("t.name <> '' AND r.name <> '' AND t.ts[1] = r.ts[1]"), "name_length_ratio": _lengths("t.name", "r.name"), "name_exact": flag("t.raw_name <> '' AND t.raw_name = r.raw_name"),
+        "core_name_exact": flag("t.name <> '' AND t.name = r.name"), "address_translit_gram_jaccard": jac("ga"), "address_gram_jaccard": jac("ga"), "address_gram_containment": con("ga"),
+        "address_token_jaccard": jac("wa"), "address_token_containment": con("wa"), "address_common_tokens": com("wa"), "address_exact": flag("t.address <> '' AND t.address = r.address"),
+        "number_jaccard": jac("runs"), "number_containment": con("runs"), "number_common": com("runs"), "number_conflict": flag(f"{some('runs')} AND {com('runs')} = 0"),
+        "postal_equal": flag(f"{tp} <> '' AND {tp} = {rp}"), "postal_conflict": flag(f"{tp} <> '' AND {rp} <> '' AND {tp} <> {rp}"), "name_missing": flag("t.name = ''"), "address_missing": flag("t.address = ''"),
+        "target_name_length": "length(t.name)", "reference_name_length": "length(r.name)", "target_address_length": "length(t.address)", "reference_address_length": "length(r.address)",
+        **{f"{v}_{x}": f"f.{v}_{x}" for v in ("joint", "name", "address") for x in ("rank", "score")}, "best_rank": f"{ranks}[1]", "rank_gap": f"{ranks}[2] - {ranks}[1]",
+        "rrf_score": "1.0::DOUBLE / (60 + f.joint_rank) + 1.0::DOUBLE / (60 + f.name_rank) + 1.0::DOUBLE / (60 + f.address_rank)", "target_is_s2": flag("t.source = 'S2'"),
+        "country_us": flag("t.country = 'US'"), "country_india": flag("t.country = 'India'"), "country_france": flag("t.country = 'France'"),
+    }
+    cols = ", ".join(f"round(CAST({made[n]} AS DOUBLE), 9) AS {n}" for n in fuzzy.FEATURES if n not in fuzzy.RATIO_FEATURES)
+    return f"SELECT f.target_id, f.rid, t.source AS target_source, f.candidate_rank, {cols} FROM fusedv f JOIN uterms t ON t.entity_id = f.target_id JOIN uterms r ON r.entity_id = f.rid"
+
+
+def _bits(x: str, step: str) -> str:
+    return f"list_reduce(list_concat([{x}], range(8)::UBIGINT[]), lambda x, i: {step})"
+
+
+def _crc(x: str) -> str:
+    """crc32 of an ASCII text, bit by bit."""
+    step = _bits("xor(c, b)", "xor(x >> 1, 3988292384::UBIGINT * (x & 1))")
+    codes = f"list_transform(string_split({x}, ''), lambda s: ascii(s)::UBIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::UBIGINT], {codes}), lambda c, b: {step}), 4294967295::UBIGINT)"
+
+
+_W = "18446744073709551616::UHUGEINT"  # numbers of 64 bits
+_P1, _P2, _P3, _P4, _P5 = (f"{p}::UHUGEINT" for p in (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261))
+
+
+def _rotated(x: str, n: int) -> str:
+    return f"(({x} * {1 << n}::UHUGEINT) % {_W} + ({x} // {1 << (64 - n)}::UHUGEINT))"
+
+
+def _xx64(x: str) -> str:
+    """xxhash64 with seed 42 of an ASCII text of less than eight characters, as an unsigned number: a chain of subqueries."""
+    code = lambda k: f"ascii(substr({x}, {k}, 1))::UHUGEINT"
+    word = " + ".join(f"{code(f'{k + 1}')} * {1 << 8 * k}::UHUGEINT" for k in range(4))
+    q = f"SELECT *, length({x}) AS n, (42::UHUGEINT + {_P5} + length({x})::UHUGEINT) % {_W} AS h FROM reg"
+    mixed = f"({_rotated(f'xor(h, (({word}) * {_P1}) % {_W})', 23)} * {_P2} + {_P3}) % {_W}"
+    q = f"SELECT * REPLACE (CASE WHEN n >= 4 THEN {mixed} ELSE h END AS h), CASE WHEN n >= 4 THEN 4 ELSE 0 END AS done FROM ({q})"
+    for _ in range(3):
+        one = f"({_rotated(f'xor(h, ({code('done + 1')} * {_P5}) % {_W})', 11)} * {_P1}) % {_W}"
+        q = f"SELECT * REPLACE (CASE WHEN n > done THEN {one} ELSE h END AS h, done + 1 AS done) FROM ({q})"
+    for shift, by in ((33, _P2), (29, _P3), (32, "1::UHUGEINT")):
+        q = f"SELECT * REPLACE ((xor(h, h // {1 << shift}::UHUGEINT) * {by}) % {_W} AS h) FROM ({q})"
+    return q
+
+
+def _split(at: str, ranges: dict[str, tuple[int, int]]) -> str:
+    return "CASE " + " ".join(f"WHEN {at} >= {a} AND {at} < {b} THEN '{n}'" for n, (a, b) in ranges.items()) + " END"
+
+
 _KS = (1, 2, 3, 4, 8, 12, 24)
 _CELL = f"""SELECT o.target_id, v.view, k.k, CASE WHEN EXISTS (SELECT 1 FROM found_v f WHERE f.target_id = o.target_id AND f.rid = o.source1_id AND (f.view = v.view OR v.view = 'union') AND f.view_rank <= k.k) THEN 1 ELSE 0 END AS hit
   FROM owners o, (SELECT unnest(['joint', 'name', 'address', 'union']) AS view) v, {_values('k', _KS)} k"""
@@ -317,7 +407,7 @@ ORACLES = {
     "reduction_ratio": _sql("""SELECT possible_pairs, candidate_pairs, CASE WHEN possible_pairs > 0 THEN round(1.0 - candidate_pairs / CAST(possible_pairs AS DOUBLE), 9) ELSE 0.0 END AS reduction_ratio FROM (
       SELECT CAST((SELECT sum(q * t) FROM (SELECT country, count(*) FILTER (source = 'S1') AS q, count(*) FILTER (source <> 'S1') AS t FROM rec2 GROUP BY 1)) AS BIGINT) AS possible_pairs, (SELECT count(*) FROM cand_b) AS candidate_pairs)""", "rec2", "cand_b"),
     "per_country_counts": _sql("SELECT country, count(*) AS queries, CAST(sum(n) AS BIGINT) AS candidates, round(avg(n), 6) AS mean, quantile_disc(n, 0.95) AS p95 FROM counts GROUP BY country", "counts"),
-    "anti_containment": _sql("SELECT e.* FROM edges e ANTI JOIN cand_b c USING (source1_id, target_id)", "edges", "cand_b"),
+    "anti_containment": _sql("SELECT e.* FROM edges e ANTI JOIN (SELECT * FROM cand_b WHERE target_source = 'S2') c USING (source1_id, target_id)", "edges", "cand_b"),
     "duplicate_rows": _sql("SELECT content, count(*) AS n FROM reg GROUP BY 1 HAVING count(*) > 1", "reg"),
     "target_existence": _sql("SELECT source1_id, target_id FROM edges WHERE target_id NOT IN (SELECT entity_id FROM reg WHERE source = 'S2')", "edges"),
     "list_violations": _sql("""SELECT count(*) AS rows, count(*) FILTER (len(ids) = 0) AS empty_rows, count(*) FILTER (list_contains(ids, '')) AS empty_ids, count(*) FILTER (len(list_distinct(ids)) < len(ids)) AS repeated_ids,
@@ -328,9 +418,25 @@ ORACLES = {
     "rrf_fuse": _sql("SELECT * FROM fused", "fused"),
     "recall_at_k": _sql(f"SELECT view, k, CAST(sum(hit) AS BIGINT) AS hits, count(*) AS links, round(sum(hit) / CAST(count(*) AS DOUBLE), 9) AS recall FROM ({_CELL}) GROUP BY view, k", "owners", "found_v"),
     "target_argmax_match": _sql("SELECT target_id, rid, rrf FROM fused WHERE candidate_rank = 1 AND rrf >= 0.03::DOUBLE", "fused"),
-    "target_sweep": _sql(f"""SELECT g.cap AS cap_per_target, g.threshold, round(avg({_FH}), 9) AS macro_f0_5 FROM (SELECT * FROM {_values('cap', V.TARGET_CAPS)}, {_values('threshold', V.TARGET_THRESHOLDS)}) g CROSS JOIN otruth t
-      LEFT JOIN (SELECT cap, threshold, source1_id, sum(label) AS tp, count(*) AS predicted FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cap, target_id ORDER BY probability DESC, candidate_rank) AS k FROM tscored, {_values('cap', V.TARGET_CAPS)} WHERE candidate_rank <= cap) WHERE k = 1),
-        {_values('threshold', V.TARGET_THRESHOLDS)} WHERE probability >= threshold GROUP BY ALL) p ON p.cap = g.cap AND p.threshold = g.threshold AND p.source1_id = t.source1_id GROUP BY g.cap, g.threshold""", "tscored", "otruth"),
+    "target_sweep": _sql(f"""SELECT g.cap AS cap_per_target, g.threshold, round(avg({_FH}), 9) AS macro_f0_5, any_value(c.candidate_recall) AS candidate_recall FROM (SELECT * FROM {_values('cap', V.TARGET_CAPS)}, {_values('threshold', V.TARGET_THRESHOLDS)}) g
+      CROSS JOIN otruth t JOIN trecall c ON c.cap = g.cap LEFT JOIN tbest p ON p.cap = g.cap AND p.threshold = g.threshold AND p.source1_id = t.source1_id GROUP BY g.cap, g.threshold""", "tbest", "otruth", "trecall"),
+    "target_calibration": _sql("SELECT cap AS cap_per_target, threshold, macro_f0_5, audit_macro_f0_5, audit_source1_entities, truth_entities, matched_pairs, predicted_pairs, candidate_pairs, candidate_recall FROM tpoint JOIN trecall USING (cap)", "tpoint", "trecall"),
+    "target_country_scores": _sql("SELECT c.country, round(c.f / c.n, 9) AS macro_f0_5 FROM tcells c JOIN tpoint USING (cap, threshold) WHERE NOT c.audit", "tcells", "tpoint"),
+    "retrieval_audit": _sql(f"""SELECT country, view, k, CAST(sum(hit) AS BIGINT) AS hits, count(*) AS links, round(sum(hit) / CAST(count(*) AS DOUBLE), 9) AS recall FROM ({_CELL}) JOIN owners USING (target_id) JOIN reg ON entity_id = target_id
+      WHERE CAST(('0x' || substr(md5(source1_id), 1, 8)) AS BIGINT) % 5 = 0 GROUP BY country, view, k""", "owners", "found_v", "reg"),
+    "match_accounting": _sql("""SELECT (SELECT count(*) FROM s1) AS rows, (SELECT count(*) FROM s1) AS unique_rows, (SELECT count(*) FROM edges) AS matched_pairs, (SELECT count(*) FROM truth WHERE truth_count = 0) AS empty_rows,
+      (SELECT count(*) FROM reg WHERE source = 'S2') AS targets_s2, CAST(0 AS BIGINT) AS targets_s3, CAST(0 AS BIGINT) AS repeated_rows, (SELECT count(*) FROM edges WHERE target_id LIKE 'S3-%') AS absent_targets,
+      (SELECT count(*) FROM (SELECT row_number() OVER (ORDER BY entity_id) AS k, entity_id AS a FROM s1) FULL JOIN (SELECT row_number() OVER (ORDER BY entity_id) AS k, entity_id AS b FROM s1 WHERE entity_id NOT LIKE '%7') USING (k)
+        WHERE a IS DISTINCT FROM b) AS misplaced""", "s1", "edges", "truth", "reg"),
+    "target_sequence": _sql("SELECT entity_id, row_number() OVER (ORDER BY source, entity_id) - 1 AS seq FROM reg WHERE source <> 'S1'", "reg"),
+    "sequence_coverage": _sql("SELECT count(*) AS rows, CAST(0 AS BIGINT) AS least, count(*) - 1 AS most, count(*) AS different, true AS dense FROM reg WHERE source <> 'S1'", "reg"),
+    "wide_set_features": _sql(_set_features(), "fusedv", "uterms"),
+    "unicode_views": _sql(f"""SELECT entity_id, name, address, name AS roman_name, address AS roman_address FROM (SELECT entity_id, regexp_replace({_fold('business_name')}, '(?:(?:^| )(?:{'|'.join(V.LEGAL_SUFFIXES)}))+$', '') AS name,
+      {_short(_fold('business_address'), V.ADDRESS_SHORT)} AS address FROM reg)""", "reg"),
+    "split_crc32": _sql(f"SELECT entity_id, bucket, {_split('bucket', folds.COMPOSITE_SPLITS)} AS split FROM (SELECT entity_id, CAST({_crc('entity_id')} % 100 AS INTEGER) AS bucket FROM reg)", "reg"),
+    "split_xxhash": _sql(f"""SELECT entity_id, bucket, {_split('bucket', folds.BASE_SPLITS)} AS split FROM (
+      SELECT entity_id, CAST(((CASE WHEN h >= 9223372036854775808::UHUGEINT THEN h::HUGEINT - 18446744073709551616::HUGEINT ELSE h::HUGEINT END) % 100 + 100) % 100 AS INTEGER) AS bucket FROM ({_xx64('entity_id')}))""", "reg"),
+    "sharded_roundtrip": _sql("SELECT entity_id, content FROM reg", "reg"),
     "fold_assignment_md5": _sql(f"SELECT entity_id AS target_id, source1_id AS owner, CAST({_MD5.format('coalesce(source1_id, entity_id)', 5)} AS INTEGER) AS fold FROM reg LEFT JOIN owners ON target_id = entity_id WHERE source <> 'S1'", "reg", "owners"),
     "parquet_roundtrip": _sql("SELECT entity_id, name AS norm_name, address AS norm_address FROM norm", "norm"),
     "tsv_roundtrip": _sql("SELECT entity_id AS source1_entity_id, coalesce(ids, '') AS matched_entity_ids FROM s1 LEFT JOIN (SELECT source1_id, string_agg(target_id, ',' ORDER BY target_id) AS ids FROM edges GROUP BY 1) ON source1_id = entity_id", "s1", "edges"),

@@ -88,9 +88,10 @@ class HeaderError(ValueError):
 
 def read_parts(spark: SparkSession, folder: str, columns: list[str]) -> DataFrame:
     """All part files of a folder as one table; each must have the header ``columns``."""
-    rows = spark.read.text(folder, wholetext=True).select(F.split_part("value", F.lit("\n"), F.lit(1)).alias("h"))
-    want = "\t".join(columns)
-    wrong = rows.filter((F.rtrim("h") != want) & (F.col("h") != "")).limit(1).collect()
+    # A file's first line is the first row of its first split.
+    lines = spark.read.text(folder).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"))
+    first = lines.filter("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("h"))
+    wrong = first.filter(F.rtrim("h") != "\t".join(columns)).limit(1).collect()
     if wrong:
         raise HeaderError(wrong[0]["h"])
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
@@ -118,6 +119,41 @@ def merge_shards(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.schema(schemas[0]).parquet(*paths)
 
 
+class ShardError(ValueError):
+    """Shards don't make up the whole."""
+
+
+def write_shard(df: DataFrame, path: str, index: int, count: int, **metrics) -> dict:
+    """One of ``count`` shards of a table, with a manifest of its place, its rows and further counts."""
+    write_features(df, f"{path}/{index:03d}/rows")
+    rows = df.sparkSession.read.parquet(f"{path}/{index:03d}/rows").count()
+    manifest = {"shard_index": index, "shard_count": count, "rows": rows, **metrics}
+    write_json(df.sparkSession, manifest, f"{path}/{index:03d}/manifest")
+    return manifest
+
+
+def finalize_shards(spark: SparkSession, path: str, count: int, expected_rows: int | None = None) -> tuple[DataFrame, dict]:
+    """All shards of a table together, and their counts summed up.
+
+    Every shard must be there with its own manifest, have the rows that this says, and the rows of all must be those expected.
+    """
+    total: dict = {}
+    for k in range(count):
+        try:
+            manifest = read_json(spark, f"{path}/{k:03d}/manifest")
+        except Exception as e:  # noqa: BLE001  the reader's errors differ by store
+            raise ShardError(f"shard {k} of {count} is incomplete") from e
+        if (manifest["shard_index"], manifest["shard_count"]) != (k, count):
+            raise ShardError(f"the manifest of shard {k} of {count} is that of another: {manifest}")
+        for name, value in manifest.items():
+            if isinstance(value, (int, float)) and not name.startswith("shard_"):
+                total[name] = total.get(name, 0) + value
+    df = merge_shards(spark, [f"{path}/{k:03d}/rows" for k in range(count)])
+    if df.count() != total["rows"] or (expected_rows is not None and total["rows"] != expected_rows):
+        raise ShardError(f"shards have {total['rows']} rows by their manifests, {df.count()} in fact, expected are {expected_rows}")
+    return df, total
+
+
 def content_signature(records: DataFrame) -> str:
     """SHA-256 over the records' own hashes, which are added up: the same for any order of rows."""
     h = F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(c), F.lit("")) for c in RECORD.names]).cast("binary"), 256)

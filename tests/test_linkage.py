@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from linkloom.operators import contracts, decisions, evaluation, fuzzy, model, ranked, reports, truth
+from linkloom.operators import contracts, decisions, evaluation, fuzzy, model, ordinal, ranked, reports, truth
 from linkloom.plans import catalogue, linkage
 from linkloom.sources import tables
 
@@ -16,29 +16,73 @@ def small(spark):
 
 
 def test_packed_lists(spark):
-    pairs = spark.createDataFrame([("q1", "S2", "m2", 8.0), ("q1", "S2", "m1", 10.0), ("q1", "S3", "m3", 9.0)], PAIRS)
-    queries = spark.createDataFrame([("q1",), ("q2",)], "entity_id string")
-    got = {r[0]: r[1] for r in decisions.packed_lists(queries, pairs, "retrieval_score", "ids").collect()}
-    assert got == {"q1": "m1,m3,m2", "q2": ""}
+    rows = [("oak", "S3", "t7", 0.25), ("oak", "S2", "t9", 0.25), ("oak", "S2", "t4", 0.7500000012), ("oak", "S2", "t5", 0.7500000049), ("elm", "S3", "t1", 0.5)]
+    queries = spark.createDataFrame([("elm",), ("fir",), ("oak",)], "entity_id string")
+    got = {r[0]: r[1] for r in decisions.packed_lists(queries, spark.createDataFrame(rows, PAIRS), "retrieval_score", "ids").collect()}
+    assert got == {"oak": "t4,t5,t9,t7", "elm": "t1", "fir": ""}  # scores that agree in 8 digits are equal
 
 
 def test_top_candidates(spark):
-    rows = [("q", "S2", "s2-1", 3.0), ("q", "S2", "s2-1", 1.0), ("q", "S2", "s2-2", 2.0), ("q", "S3", "s3-1", 1.0)]
-    got = decisions.top_candidates(spark.createDataFrame(rows, PAIRS), 1, "retrieval_score").collect()
-    assert {(r["target_source"], r["target_id"]) for r in got} == {("S2", "s2-1"), ("S3", "s3-1")}
+    rows = [("oak", "S2", f"t{k}", float(k % 5)) for k in range(10)] + [("oak", "S2", "t4", -1.0), ("oak", "S3", "u1", 0.0)]
+    got = decisions.top_candidates(spark.createDataFrame(rows, PAIRS), 3, "retrieval_score").collect()
+    assert {r["target_id"] for r in got} == {"t4", "t9", "t3", "u1"}
     with pytest.raises(ValueError):
-        decisions.top_candidates(spark.createDataFrame(rows, PAIRS), -1, "retrieval_score")
+        decisions.top_candidates(spark.createDataFrame(rows, PAIRS), -2, "retrieval_score")
+
+
+SCORED = "source1_id string, target_id string, target_source string, candidate_rank int, probability double, label int"
 
 
 def test_f_half_and_operating_point(spark):
-    q = spark.createDataFrame([("a",), ("b",)], "entity_id string")
-    edges = spark.createDataFrame([("b", "x")], "source1_id string, target_id string")
-    scored = spark.createDataFrame([("a", "y", "S2", 1, 0.2, 0)], "source1_id string, target_id string, target_source string, candidate_rank int, probability double, label int")
-    swept = evaluation.sweep(q, scored, edges, caps=[4], thresholds=[0.5, 0.1]).collect()
-    assert {r["threshold"]: r["macro_f0_5"] for r in swept} == {0.5: 0.5, 0.1: 0.0}
-    caps = spark.createDataFrame([(4, 0.95, 0.91), (8, 0.99, 0.94), (16, 1.0, 0.941)], "cap_per_source int, candidate_recall double, macro_f0_5 double")
-    assert evaluation.operating_point(caps).first()["cap_per_source"] == 8
-    assert evaluation.operating_point(caps.filter("cap_per_source = 4")).first()["cap_per_source"] == 4 and evaluation.operating_point(caps.limit(0)).isEmpty()
+    q = spark.createDataFrame([(f"q{k}",) for k in range(4)], "entity_id string")
+    edges = spark.createDataFrame([("q1", "x"), ("q1", "y"), ("q2", "z")], "source1_id string, target_id string")
+    scored = spark.createDataFrame([("q1", "x", "S2", 1, 0.9, 1), ("q1", "w", "S2", 2, 0.4, 0), ("q3", "z", "S3", 1, 0.3, 0)], SCORED)
+    swept = {(r["cap_per_source"], r["threshold"]): r for r in evaluation.sweep(q, scored, edges, caps=[1, 2], thresholds=[0.35, 0.2]).collect()}
+    # q0 and q2 are always 1 and 0; q1 has one of two links (1.25 / 1.5), with the wrong one too 1.25 / 2.5; q3 is wrong at 0.2.
+    assert swept[1, 0.35]["macro_f0_5"] == pytest.approx((1 + 1.25 / 1.5 + 1) / 4, abs=1e-8)
+    assert swept[2, 0.2]["macro_f0_5"] == pytest.approx((1 + 0.5) / 4, abs=1e-8)
+    assert {r["candidate_hits"] for r in swept.values()} == {1} and swept[2, 0.2]["candidate_recall"] == pytest.approx(1 / 3)
+    rows = [(2, 0.5, 0.70), (3, 0.992, 0.7995), (5, 0.995, 0.801), (9, 0.999, 0.8005)]
+    caps = spark.createDataFrame(rows, "cap_per_source int, candidate_recall double, macro_f0_5 double")
+    assert evaluation.operating_point(caps).first()["cap_per_source"] == 3  # enough recall, near the best
+    assert evaluation.operating_point(caps, recall_gate=0.9995).first()["cap_per_source"] == 5  # none has: the best
+    assert evaluation.operating_point(caps.limit(0)).isEmpty()
+
+
+def test_target_audit(spark):
+    refs = spark.createDataFrame([("a", "US", 0), ("b", "US", 1), ("c", "Peru", 1), ("d", "India", 4)], "entity_id string, country string, fold int")
+    edges = spark.createDataFrame([("a", "t1"), ("b", "t2"), ("d", "t4")], "source1_id string, target_id string")
+    rows = [("a", "t1", 1, 0.8, 1), ("b", "t2", 2, 0.9, 1), ("c", "t2", 1, 0.6, 0), ("d", "t4", 1, 0.55, 1), ("a", "t9", 1, 0.58, 0)]
+    scored = spark.createDataFrame(rows, "source1_id string, target_id string, candidate_rank int, probability double, label int")
+    point, countries = evaluation.target_audit(refs, scored, edges, 4)
+    r = point.first()
+    # With two candidates a target t2 finds its query; from 0.6 on the wrong t9 is out; the highest such threshold is 0.8, at which d's link is lost.
+    assert (r["cap_per_target"], r["threshold"], r["macro_f0_5"], r["audit_macro_f0_5"]) == (2, 0.8, 1.0, 0.0)
+    assert (r["audit_source1_entities"], r["truth_entities"], r["matched_pairs"], r["predicted_pairs"], r["candidate_pairs"], r["candidate_recall"]) == (1, 3, 2, 2, 5, 1.0)
+    assert {x["country"]: x["macro_f0_5"] for x in countries.collect()} == {"US": 1.0, "Other": 1.0}
+    recall = {x["cap"]: x["candidate_recall"] for x in evaluation.target_recall(scored, edges).collect()}
+    assert recall[1] == pytest.approx(2 / 3) and recall[2] == 1.0
+
+
+def brute_rule(f):
+    """The rules as a table of conditions, on one pair's features."""
+    big = lambda c: max(f[c], f["roman_" + c])
+    n, w, en = big("name_edit_similarity"), big("name_token_jaccard"), big("exact_name")
+    a, p, ea = big("address_edit_similarity"), big("address_token_jaccard"), big("exact_address")
+    near = ea or f["postal_equal"] or f["house_number_equal"] or f["number_jaccard"] >= 0.5
+    return bool((en and (a >= 0.25 or p >= 0.3 or near)) or (n >= 0.94 and w >= 0.55 and (a >= 0.45 or p >= 0.35 or near)) or (n >= 0.87 and w >= 0.5 and (a >= 0.7 or p >= 0.55)) or (n >= 0.75 and w >= 0.35 and (a >= 0.93 or p >= 0.78 or ea)))
+
+
+def test_rules_equal_their_conditions(spark):
+    import random
+
+    r = random.Random(2)
+    names = [x for c in ("name_edit_similarity", "name_token_jaccard", "exact_name", "address_edit_similarity", "address_token_jaccard", "exact_address") for x in (c, f"roman_{c}")]
+    names += ["postal_equal", "house_number_equal", "number_jaccard", "candidate_rank_reciprocal"]
+    rows = [tuple(float(r.random() < 0.2) if "exact" in c or "equal" in c else r.choice([0.1, 0.3, 0.36, 0.5, 0.56, 0.72, 0.8, 0.9, 0.95]) for c in names) for _ in range(600)]
+    got = {x["k"] for x in decisions.rule_matches(spark.createDataFrame([(k, *x) for k, x in enumerate(rows)], ", ".join(["k int", *[f"{c} double" for c in names]]))).collect()}
+    want = {k for k, x in enumerate(rows) if brute_rule(dict(zip(names, x, strict=True)))}
+    assert got == want and 0 < len(want) < 600
 
 
 def test_threshold_ties(spark):
@@ -72,24 +116,170 @@ def test_truth(spark):
     assert tuple(truth.truth_violations(edges, spark.createDataFrame([("a",)], "entity_id string")).first()) == (1, 1)
 
 
+def brute_subsequence(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        old, row = row, [0]
+        for j, y in enumerate(b):
+            row.append(old[j] + 1 if x == y else max(old[j + 1], row[j]))
+    return row[-1]
+
+
 def test_fuzzy_ratios():
-    assert fuzzy.common_subsequence("kitten", "sitting") == 4 and fuzzy.ratio("", "a") == 0.0 and fuzzy.ratio("abc", "abc") == 1.0
-    assert fuzzy.token_sort("new york mets", "mets york new") == 1.0 and fuzzy.token_set("mariners vs angels", "angels vs mariners of la") == 1.0
-    assert fuzzy.partial("abc", "xxabcxx") == 1.0 and fuzzy.token_set("a b", "c d") == pytest.approx(1 / 3)
+    import random
+
+    r = random.Random(4)
+    for _ in range(300):
+        a, b = ("".join(r.choices("abc d", k=r.randint(0, 14))) for _ in range(2))
+        assert fuzzy.common_subsequence(a, b) == brute_subsequence(a, b)
+        assert fuzzy.ratio(a, b) == (2 * brute_subsequence(a, b) / (len(a) + len(b)) if a and b else 0)
+        short, long = sorted((a, b), key=len)
+        parts = {long[max(0, k) : k + len(short)] for k in range(1 - len(short), len(long))} if short else set()
+        if len(a) == len(b):
+            both = [fuzzy.ratio(b, a[max(0, k) : k + len(a)]) for k in range(1 - len(a), len(a))]
+        else:
+            both = []
+        assert fuzzy.partial(a, b) == pytest.approx(max([0.0, *[fuzzy.ratio(short, p) for p in parts], *both]))
+    assert fuzzy.token_sort("quay south 9", "9 south quay") == 1.0 and fuzzy.token_set("blue heron", "heron blue cafe") == 1.0
+    assert fuzzy.token_set("p q", "r s") == pytest.approx(1 / 3) and fuzzy.partial("heron", "the heron inn") == 1.0
+
+
+PLACES = "entity_id string, business_name string, business_address string, country string"
+
+
+def _registers(spark):
+    refs = [("S1-a", "Kestrel Foundry Inc", "88 Tanner Lane Duluth MN", "US"), ("S1-b", "Marlow Ferries", "3 Dock Road", "US"), ("S1-c", "Boulangerie Fête Dorée", "5 quai du Port Lorient", "France")]
+    targets = [("S2-a", "Kestrel Foundries", "88 Tanner Ln Duluth MN", "US"), ("S2-c", "Boulangerie Fete Doree SAS", "5 quai du port Lorient", "France"), ("S3-e", "", "", "US"), ("S3-f", "Kestrel", "", "Nowhere")]
+    return spark.createDataFrame(refs, PLACES), spark.createDataFrame(targets, PLACES)
 
 
 def test_ranked_retrieval(spark):
-    schema = "entity_id string, business_name string, business_address string, country string"
-    refs = spark.createDataFrame([("S1-1", "Acme Industries", "12 North Road Boston MA", "US"), ("S1-2", "Blue River Ltd", "9 Lake Street", "US"), ("S1-4", "Société Étoile SARL", "12 rue de la Paix Paris", "France")], schema)
-    targets = spark.createDataFrame([("S2-1", "Acme Industrials", "12 N Rd Boston MA", "US"), ("S2-4", "Societe Etoile", "12 rue de la paix Paris", "France"), ("S2-5", "", "", "US"), ("S2-6", "Acme", "", "Nowhere")], schema)
+    refs, targets = _registers(spark)
     for scripts in (False, True):
         found = ranked.search(ranked.record_fields(targets, scripts), ranked.index(ranked.record_fields(refs, scripts), list(ranked.VIEWS["joint"])))
         first = {r["target_id"]: r["rid"] for r in found.filter("view = 'joint' and view_rank = 1").collect()}
-        assert first == {"S2-1": "S1-1", "S2-4": "S1-4"}
+        assert first == {"S2-a": "S1-a", "S2-c": "S1-c"}
     fused = ranked.fuse(found)
-    assert fused.filter("target_id = 'S2-1' and candidate_rank = 1").first()["rid"] == "S1-1"
-    wide = linkage.wide_pairs(fused, refs, targets.filter("entity_id = 'S2-1'"), targets.filter("entity_id = 'S2-4'"))
-    assert wide.columns[4:] == fuzzy.FEATURES and wide.filter("target_id = 'S2-1' and rid = 'S1-1'").first()["address_exact"] == 1.0
+    assert fused.filter("target_id = 'S2-a' and candidate_rank = 1").first()["rid"] == "S1-a"
+    wide = linkage.wide_pairs(fused, refs, targets.filter("entity_id = 'S2-a'"), targets.filter("entity_id = 'S2-c'"))
+    assert wide.columns[4:] == fuzzy.FEATURES and wide.filter("target_id = 'S2-a' and rid = 'S1-a'").first()["address_exact"] == 1.0
+
+
+def test_one_pass_over_hits_equals_every_view_alone(spark):
+    """Scores of views that share fields, against sums term by term."""
+    refs, targets = (ranked.record_fields(x) for x in _registers(spark))
+    indexed = ranked.index(refs, list(ranked.VIEWS["joint"]))
+    weight = {(r["rid"], r["field"], r["term"]): r["weight"] for r in indexed.collect()}
+    country = {r["entity_id"]: r["country"] for r in refs.collect()}
+    want = {}
+    for t in targets.collect():
+        for view, boosts in ranked.VIEWS.items():
+            for rid in country:
+                got = [b * weight[rid, f, x] for f, b in boosts.items() for x in t[f] if (rid, f, x) in weight and country[rid] == t["country"]]
+                if got:
+                    want[t["entity_id"], view, rid] = round(sum(got), 5)
+    found = {(r["target_id"], r["view"], r["rid"]): round(r["score"], 5) for r in ranked.search(targets, indexed).collect()}
+    assert found.keys() == want.keys() and all(found[k] == pytest.approx(want[k], abs=2e-5) for k in want)
+
+
+def test_retrieval_audit(spark, tmp_path):
+    from linkloom.operators import folds
+
+    refs, targets = _registers(spark)
+    edges = spark.createDataFrame([("S1-a", "S2-a"), ("S1-c", "S2-c"), ("S1-b", "S3-f")], "source1_id string, target_id string")
+    parts = ranked.audit(targets, refs, edges, folds.blake_fold, 1)
+    recall = {(r["country"], r["view"], r["k"]): r["recall"] for r in parts["by_country"].collect()}
+    assert recall["US", "union", 1] == 1.0 and recall["Nowhere", "union", 24] == 0.0
+    lost = parts["misses"].collect()
+    assert [(r["target_id"], r["true_name"]) for r in lost] == [("S3-f", "Marlow Ferries")]
+    ranked.write_audit(parts, str(tmp_path / "audit"))
+    assert spark.read.json(str(tmp_path / "audit" / "retrieved")).count() == parts["retrieved"].count()
+    some = ranked.sampled_edges(edges, folds.blake_fold, 3).count()
+    assert sum(edges.filter(folds.blake_fold(F.col("source1_id"), 3) == k).count() for k in range(3)) == 3 and some <= 3
+
+
+def test_ordinals_accounts_and_shards(spark, tmp_path):
+    rows = spark.createDataFrame([(f"S1-{k:03}",) for k in range(500)], "entity_id string").repartition(7)
+    placed = ordinal.with_ordinal(rows.orderBy("entity_id"))
+    assert {(r["entity_id"], r["ordinal"]) for r in placed.collect()} == {(f"S1-{k:03}", k) for k in range(500)}
+    two = ordinal.with_sequence([rows.filter("entity_id < 'S1-200'").orderBy("entity_id"), rows.filter("entity_id >= 'S1-200'").orderBy("entity_id")])
+    assert ordinal.assert_dense(two) == 500 and {r["seq"] for r in two.filter("entity_id = 'S1-200'").collect()} == {200}
+    for bad in (two.filter("seq <> 3"), two.unionByName(two.limit(1)), two.withColumn("seq", F.col("seq") + 1)):
+        with pytest.raises(contracts.ContractError):
+            ordinal.assert_dense(bad)
+    assert ordinal.assert_dense(two.limit(0)) == 0
+    targets = spark.createDataFrame([("S2-1", "S2"), ("S2-2", "S2"), ("S3-1", "S3")], "entity_id string, target_source string")
+    lists = placed.select(F.col("entity_id").alias("source1_entity_id"), F.when(F.col("ordinal") < 2, F.lit("S2-1,S3-1")).otherwise("").alias("matched_entity_ids"), "ordinal")
+    account = contracts.validate_matches(lists, placed, targets)
+    assert (account["rows"], account["matched_pairs"], account["empty_rows"], account["targets_s2"], account["targets_s3"]) == (500, 4, 498, 2, 1)
+    swapped = lists.withColumn("ordinal", F.when(F.col("ordinal") < 2, 1 - F.col("ordinal")).otherwise(F.col("ordinal")))
+    for bad in (swapped, lists.filter("ordinal < 499"), lists.unionByName(lists.limit(1)), lists.withColumn("matched_entity_ids", F.lit("S2-9"))):
+        with pytest.raises(contracts.ContractError):
+            contracts.validate_matches(bad, placed, targets)
+    path = str(tmp_path / "shards")
+    for k in range(3):
+        tables.write_shard(placed.filter(F.col("ordinal") % 3 == k), path, k, 3, pairs=10 * k)
+    df, total = tables.finalize_shards(spark, path, 3, 500)
+    assert df.count() == 500 and total == {"rows": 500, "pairs": 30}
+    with pytest.raises(tables.ShardError):
+        tables.finalize_shards(spark, path, 3, 499)
+    with pytest.raises(tables.ShardError):
+        tables.finalize_shards(spark, path, 4)
+    with pytest.raises(tables.ShardError):
+        tables.finalize_shards(spark, path, 2)
+
+
+def test_cross_fit(spark):
+    rows = [(f"q{k % 40}", f"t{k}", k % 12 + 1, k % 5, (k // 5) % 5, float(k % 7) + (k % 3 == 0) * 5, int(k % 3 == 0)) for k in range(400)]
+    pairs = spark.createDataFrame(rows, "source1_id string, target_id string, candidate_rank int, fold int, rid_fold int, x double, label int")
+    got = model.cross_fit(pairs, ["x"], maxIter=4, maxDepth=2, minInstancesPerNode=1)
+    assert got.oof.count() == 400 and got.oof.filter("probability is null").isEmpty() and len(got.models) == 5
+    assert got.final_rounds(2) == max(2, sorted(got.rounds)[2]) and got.final_rounds() == 150
+    assert model.fit_final(pairs, ["x"], got, least=3, maxDepth=2).getNumTrees >= 3
+    with pytest.raises(contracts.ContractError):
+        model.cross_fit(pairs.withColumn("fold", F.when(F.col("fold") == 1, None).otherwise(F.col("fold"))), ["x"], maxIter=1)
+    with pytest.raises(model.OneClassError):
+        model.cross_fit(pairs.filter("fold <> 2"), ["x"], maxIter=1, maxDepth=1)
+
+
+def test_model_is_saved(spark, tmp_path):
+    pairs = spark.createDataFrame([(float(k), k % 2) for k in range(20)], "x double, label int")
+    fitted = model.fit(pairs, ["x"], maxIter=2, maxDepth=2, minInstancesPerNode=1)
+    model.save(fitted, str(tmp_path / "model"))
+    same = model.load(str(tmp_path / "model"))
+    assert [r["probability"] for r in model.score(same, pairs, ["x"]).collect()] == [r["probability"] for r in model.score(fitted, pairs, ["x"]).collect()]
+
+
+def test_filled_text():
+    metrics = {"point": {"cap": 4, "f": 0.91234567}, "pairs": 1234567}
+    assert reports.filled("cap [[point.cap]], F [[point.f:.4f]], [[pairs:,]] pairs", metrics) == "cap 4, F 0.9123, 1,234,567 pairs"
+    for bad in ("[[point.none]]", "[[pairs.x]]"):
+        with pytest.raises(KeyError):
+            reports.filled(bad, metrics)
+
+
+def test_kept_tables_are_let_go(spark):
+    from linkloom.operators import keep
+
+    outer = keep.keep(spark.range(3))
+    with keep.holding():
+        inner = keep.keep(spark.range(5).withColumn("x", F.lit(1)))
+        assert inner.is_cached
+    assert not inner.is_cached and outer.is_cached
+    keep.release()
+    assert not outer.is_cached
+
+
+def test_frequent_values_go_before_the_joins(small, monkeypatch):
+    from linkloom.operators import retrieval
+    from linkloom.operators.blocking import BASE
+
+    q, t = linkage.prepared(small["S1"], small["S2"], small["S3"], BASE)
+    got = []
+    for most in (0, 3, 10_000):
+        monkeypatch.setattr(retrieval.without_hot, "__defaults__", (most,))
+        got.append(sorted(map(str, retrieval.candidates(q, t, BASE).collect())))
+    assert got[0] == got[1] == got[2] and got[0]
 
 
 def test_rule_linkage_finds_the_copies(small):
@@ -114,6 +304,8 @@ def test_sources(spark, tmp_path, small):
     (tmp_path / "part.tsv").write_text('﻿entity_id\tbusiness_name\tbusiness_address\tcountry\textra\n S1-1 \t"Open quote\t\tUS\tx\n\tno id\t\t\t\n', encoding="utf-8")
     rows = tables.read_source(spark, path).collect()
     assert len(rows) == 1 and rows[0]["entity_id"] == "S1-1" and rows[0]["business_name"] == '"Open quote'
+    (tmp_path / "quoted.tsv").write_text('entity_id\tbusiness_name\tbusiness_address\tcountry\nS2-1\t"Tab\tinside"\tx\tUS\n', encoding="utf-8")
+    assert tables.read_records(spark, str(tmp_path / "quoted.tsv"), quote=True).first()["business_name"] == "Tab\tinside"
     lists = spark.createDataFrame([("a", "x,y"), ("b", "")], "source1_entity_id string, matched_entity_ids string")
     tables.write_tsv(lists, str(tmp_path / "parts"), 2)
     assert sorted(map(tuple, tables.read_parts(spark, str(tmp_path / "parts"), tables.TRUTH.names).collect())) == [("a", "x,y"), ("b", "")]
@@ -122,6 +314,11 @@ def test_sources(spark, tmp_path, small):
         tables.write_one_tsv(lists, str(tmp_path / "all.tsv"))
     with pytest.raises(tables.HeaderError):
         tables.read_parts(spark, str(tmp_path / "parts"), ["other", "names"])
+    (tmp_path / "mixed").mkdir()
+    for k, head in enumerate(["a\tb", "a\tb", "a\tc"]):
+        (tmp_path / "mixed" / f"part-{k}.csv").write_text(f"{head}\n1\t2\n", encoding="utf-8")
+    with pytest.raises(tables.HeaderError):
+        tables.read_parts(spark, str(tmp_path / "mixed"), ["a", "b"])
     tables.write_json(spark, {"a": [1, 2]}, str(tmp_path / "m"))
     assert tables.read_json(spark, str(tmp_path / "m")) == {"a": [1, 2]}
     tables.write_features(lists, str(tmp_path / "f1"))
