@@ -617,29 +617,73 @@ def brute_nearest(ids, vectors, k):
     out = {}
     for i, q in enumerate(ids):
         if q % 20 == 0:
-            s = vectors @ vectors[i]
+            s = np.add.accumulate(vectors * vectors[i], axis=1)[:, -1]
             s[i] = -np.inf
-            out[q] = [ids[j] for j in np.lexsort((ids, -np.round(s, 12)))[:k]]
+            at = np.lexsort((ids, -s))[: min(k, len(ids) - 1)]
+            out[q] = [(int(ids[j]), float(s[j])) for j in at]
     return out
 
 
+def recall(got, want):
+    for q, g in got.groupby("query_id"):
+        exact = dict(want[q])
+        assert g["rank"].tolist() == list(range(1, len(want[q]) + 1)) and list(zip(-g.score, g.vec_id)) == sorted(zip(-g.score, g.vec_id))
+        assert all(exact[v] == x for v, x in zip(g.vec_id, g.score) if v in exact)
+    assert set(got.query_id) == set(want)
+    return sum(len({v for v, _ in want[q]} & set(g.vec_id)) for q, g in got.groupby("query_id")) / max(1, sum(map(len, want.values())))
+
+
 def test_nearest_against_brute_force(spark, sf):
     table = spark.read.parquet(f"{sf}/embeddings.parquet")
     p = table.toPandas()
     want = brute_nearest(p.vec_id.to_numpy(), np.stack(p.embedding.to_list()).astype(float), 20)
-    got = ann.nearest(table, F.col("vec_id") % 20 == 0, candidates=150, queries=10).toPandas()
-    assert set(got.query_id) == set(want) and (got.groupby("query_id")["rank"].max() == 20).all()
-    hits = sum(len(set(g.vec_id) & set(want[q])) for q, g in got.groupby("query_id"))
-    assert hits / (20 * len(want)) >= 0.95
+    for cell in (40, 150, 4096):
+        assert recall(ann.nearest(table, F.col("vec_id") % 20 == 0, cell=cell, leaf=16).orderBy("query_id", "rank").toPandas(), want) >= 0.95
+
+
+@pytest.mark.parametrize("n", [1500, 6000, 24_000])
+def test_nearest_at_three_sizes_leaves_cells_out(spark, n, monkeypatch):
+    """Vectors in clusters: recall holds, and a query asks fewer of the cells the more there are."""
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(n // 100, 24)) * 4
+    v = centres[rng.integers(0, len(centres), n)] + rng.normal(size=(n, 24)) * 0.3
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    table = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "vec_id long, embedding array<double>")
+    asked, whole = [], ann._round
+    monkeypatch.setattr(ann, "_round", lambda placed, a, *rest: asked.append(a.count()) or whole(placed, a, *rest))
+    got = ann.nearest(table, F.col("vec_id") % 20 == 0, cell=300, leaf=32).orderBy("query_id", "rank").toPandas()
+    assert recall(got, brute_nearest(np.arange(n), v, 20)) >= 0.95
+    cells = -(-n // 300)
+    assert sum(asked) <= {1500: 4, 6000: 12, 24_000: 32}[n] * (n // 20), (sum(asked) / (n // 20), cells)
+
+
+def test_nearest_of_copies_takes_the_smallest_ids(spark):
+    """Groups of equal vectors, far more than k, over many blocks."""
+    rng = np.random.default_rng(13)
+    base = rng.normal(size=(6, 10))
+    ids = rng.permutation(3000)
+    v = base[ids % 6]
+    table = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(ids, v)], "vec_id long, embedding array<double>")
+    got = ann.nearest(table, F.col("vec_id") % 20 == 0, cell=100, leaf=8).orderBy("query_id", "rank").toPandas()
+    assert recall(got, brute_nearest(ids, v, 20)) == 1.0
+
+
+def test_nearest_of_mixed_lengths(spark):
+    rng = np.random.default_rng(14)
+    rows = [(k, rng.normal(size=int(rng.integers(1, 9))).tolist()) for k in range(400)]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, cell=50, leaf=8).orderBy("query_id", "rank").toPandas()
+    padded = np.array([x + [0.0] * (8 - len(x)) for _, x in rows])
+    assert recall(got, brute_nearest(np.arange(400), padded, 20)) >= 0.95
 
 
 def test_nearest_edges(spark):
     nan, inf = float("nan"), float("inf")
-    rows = [(0, [1.0, 0.0]), (20, None), (40, [0.0, 0.0]), (60, [nan, 1.0]), (80, [inf, 1.0]), (100, [1.0, None]), (None, [1.0, 1.0]), (5, [2.0, 0.0]), (4, [2.0, 0.0]), (3, [-1.0, 0.0]), (2, [0.5, 7.0]), (2, [0.5, 7.0])]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("v", F.lit(1)).withColumn("asks", F.lit("clash"))
+    rows = [(0, [1.0, 0.0]), (20, None), (40, [0.0, 0.0]), (60, [nan, 1.0]), (80, [inf, 1.0]), (100, [1.0, None]), (None, [1.0, 1.0]), (5, [2.0, 0.0]), (4, [2.0, 0.0]), (3, [-1.0, 0.0]), (2, [0.5, 7.0]), (2, [0.5, 7.0]), (6, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("v", F.lit(1)).withColumn("asks", F.lit("clash")).withColumn("cell", F.lit("clash"))
     got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in ann.nearest(df, F.col("vec_id") % 20 == 0).orderBy("rank").collect()]
     assert got == [(0, 1, 4, 2.0), (0, 2, 5, 2.0), (0, 3, 2, 0.5), (0, 4, 3, -1.0)]
     assert ann.nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+    assert ann.nearest(df.filter("vec_id <= 0"), F.col("vec_id") % 20 == 0).count() == 0  # a query alone
 
 
 def test_chi_square():
