@@ -329,6 +329,46 @@ def test_every_link_is_counted(spark, edge, empty):
     assert jaccard_join.jaccard_links(edge)[0].count() == len(EDGE) and jaccard_join.jaccard_links(empty)[0].count() == 0
 
 
+def one_passage(n, own=100, shared=60):
+    """Different texts that all hold one passage; of every tenth there is a near copy."""
+    rng = np.random.default_rng(21)
+    passage = " ".join(f"p{k}" for k in range(shared))
+    texts = {}
+    for k in range(n):
+        words = [f"w{x}" for x in rng.integers(0, 10**9, own)]
+        if k % 10 == 9:
+            words = texts[k - 1].split()[:own]
+            words[int(rng.integers(0, own))] = "changed"
+        texts[k] = f"{' '.join(words)} {passage}"
+    return texts
+
+
+def pairs_of(spark, texts):
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    tree = jaccard_join._Tree(docs, "doc_id", "text", 5, 3, 4)
+    parts = spark.createDataFrame([], "node long, root long")
+    return tree.pairs_across(tree.across(parts)).count()
+
+
+def test_a_passage_that_all_texts_share_gives_pairs_in_proportion(spark):
+    few, many = pairs_of(spark, one_passage(1250)), pairs_of(spark, one_passage(5000))
+    assert 125 <= few and many <= 5 * few <= 5 * 2500
+
+
+def test_branches_that_nobody_knew_to_be_heavy_go_last(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SEEN", 10**9)  # no n-gram is told
+    texts = one_passage(200, own=40, shared=20)
+    monkeypatch.setattr(jaccard_join, "SPLIT", 10**9)
+    all_pairs = pairs_of(spark, texts)
+    monkeypatch.setattr(jaccard_join, "SPLIT", 8)
+    assert pairs_of(spark, texts) < 100 < 2000 < all_pairs
+    for split in (8, 10**9):
+        monkeypatch.setattr(jaccard_join, "SPLIT", split)
+        for some in (texts, near_copies()):
+            got = rows_of(jaccard_join.jaccard_components(spark.createDataFrame(list(some.items()), "doc_id long, text string")))
+            assert {k: r["component_id"] for k, r in got.items()} == brute_components(brute_sets(some))
+
+
 def test_jaccard_join_edges(edge, empty):
     got = jaccard_join.jaccard_components(edge).collect()
     assert len(got) == len(EDGE)
@@ -343,7 +383,14 @@ def test_trie_and_sketches():
     members = [np.unique(np.concatenate([rng.choice(head, k, replace=False), rng.integers(0, 1 << 39, 400 - k).astype(np.uint64)])) for k in (400, 350, 343, 342, 300, 0)]
     want = [7 * len(np.intersect1d(head, m)) >= 3 * (len(head) + len(m)) for m in members]
     assert jaccard_join.trie_overlaps(head, members, 3, 4).tolist() == want
-    assert jaccard_join.unpacked_tokens(jaccard_join.packed_tokens(head << np.uint64(24))).tolist() == head.tolist()
+    heavy = head[::7] << np.uint64(24)
+    order = jaccard_join.Order(heavy, np.arange(len(heavy)) % 9 + 5).with_last(head[:3] << np.uint64(24))
+    tokens = head << np.uint64(24)
+    keys = order.keys(tokens)
+    rank = {int(t): int(r) for t, r in zip(tokens, order.ranks(tokens))}
+    want = sorted(rank, key=lambda t: (-rank[t], t))
+    assert [int(k) & ((1 << 58) - 1) for k in keys] == [t >> 6 for t in want] and sorted({*rank.values()})[-1] == jaccard_join.LAST
+    assert order.with_last(head[:3] << np.uint64(24)).ranks(tokens).tolist() == order.ranks(tokens).tolist()
     for m in members:
         a, b = (np.unpackbits(jaccard_join.sketch(x).view(np.uint8)) for x in (head, m))
         if len(a) == len(b):
