@@ -52,36 +52,62 @@ def _valid(kind: str, v: Column) -> Column:
     return F.lit(True)
 
 
-_MATCHES = "array<struct<start:int,end:int,value:string>>"
+_MATCH = "struct<start:int,end:int,value:string,near:bigint>"
+_SPAN = "struct<start:int,rank:int,end:int,kind:string,value:string,near:bigint>"
+#: Items of an array that are folded together: what a fold has appended is copied with each item of its chunk, no further.
+CHUNK = 256
 
 
-def _found(text: Column, pattern: str, base: Column | None = None) -> Column:
-    """Array of (start, end, value) of a pattern's matches: what lies between matches gives their places."""
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is found once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _fold(items: Column, kind: str, step) -> Column:
+    """The array that ``step`` appends to over all items: it takes and gives (at, out), of which at goes on from item to item."""
+    none = F.array().cast(f"array<{kind}>")
+
+    def of_chunk(a, chunk):
+        own = F.aggregate(chunk, F.struct(a["at"].alias("at"), none.alias("out")), step)
+        return _let(own, lambda r: F.struct(r["at"].alias("at"), F.array_append(a["out"], r["out"]).alias("out")))
+
+    def whole(p):
+        last = F.greatest(F.floor((F.size(p) - 1) / CHUNK).cast("int"), F.lit(0))
+        chunks = F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(p, c * CHUNK + 1, F.lit(CHUNK)))
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+        return F.aggregate(chunks, zero, of_chunk, lambda a: F.flatten(a["out"]))
+
+    return _let(items, whole)
+
+
+def _found(text: Column, pattern: str) -> Column:
+    """Array of (start, end, value, near) of a pattern's matches: what lies between matches gives their places and what they stand
+    between, of which ``near`` is a hash."""
     values, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    both = F.zip_with(values, gaps, lambda v, g: F.struct(v.alias("v"), g.alias("g")))  # one gap more than values
-    first = F.lit(0) if base is None else base
+
+    def around(p):
+        pairs = F.zip_with(p["v"], p["g"], lambda v, g: F.struct(v.alias("v"), g.alias("g")))  # one gap more than values
+        return F.zip_with(pairs, F.slice(p["g"], F.lit(2), F.size(p["g"])), lambda x, h: F.struct(x["v"].alias("v"), x["g"].alias("g"), h.alias("h")))
 
     def step(a, x):
         start = a["at"] + F.char_length(x["g"])
         end = start + F.char_length(x["v"])
-        match = F.struct(start.alias("start"), end.alias("end"), x["v"].alias("value"))
+        near = F.xxhash64(F.substring(x["g"], -REACH, REACH), F.substring(x["h"], 1, REACH))
+        match = F.struct(start.alias("start"), end.alias("end"), x["v"].alias("value"), near.alias("near"))
         return F.when(x["v"].isNull(), a).otherwise(F.struct(end.alias("at"), F.array_append(a["out"], match).alias("out")))
 
-    return F.aggregate(both, F.struct(first.cast("int").alias("at"), F.array().cast(_MATCHES).alias("out")), step, lambda a: a["out"])
-
-
-_EMPTY = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
+    return _fold(_let(F.struct(values.alias("v"), gaps.alias("g")), around), _MATCH, step)
 
 
 def _of_kind(text: Column, rank: int, kind: str) -> Column:
     some = F.filter(_found(text, KINDS[kind]), lambda x: _valid(kind, x["value"]))
-    return F.transform(some, lambda x: F.struct(x["start"].alias("start"), F.lit(rank).alias("rank"), x["end"].alias("end"), F.lit(kind).alias("kind"), x["value"].alias("value")))
+    return F.transform(some, lambda x: F.struct(x["start"].alias("start"), F.lit(rank).alias("rank"), x["end"].alias("end"), F.lit(kind).alias("kind"), x["value"].alias("value"), x["near"].alias("near")))
 
 
 def base_spans(text: Column) -> Column:
-    """Array of (start, rank, end, kind, value), by start, then kind."""
+    """Array of (start, rank, end, kind, value, near), by start, then kind."""
     kinds = [_of_kind(text, rank, kind) for rank, kind in enumerate(KINDS)]
-    return F.when(text.rlike("[0-9@]"), F.array_sort(F.concat(*kinds))).otherwise(F.array().cast(_EMPTY))
+    return F.when(text.rlike("[0-9@]"), F.array_sort(F.concat(*kinds))).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
 def _written(spans: Column) -> Column:
@@ -94,12 +120,10 @@ def _terms(text: Column) -> Column:
 
 
 def _named(held: DataFrame) -> DataFrame:
-    """A row per text and entity: key, entity, window (the hash of the words around the entity), times."""
+    """A row per text and entity: key, entity, window (the hash of what the entity stands between, up to the next of its kind), times."""
     value = F.when(F.col("e.kind").isin("card", "phone"), _digits(F.col("e.value"))).otherwise(F.lower("e.value"))
-    rows = held.select("key", "text", F.explode("base").alias("e"))
-    left_at = F.greatest(F.col("e.start") - REACH, F.lit(0))
-    left, right = F.substring("text", left_at + 1, F.col("e.start") - left_at), F.substring("text", F.col("e.end") + 1, F.lit(REACH))
-    rows = rows.select("key", F.concat_ws(":", "e.kind", value).alias("entity"), F.xxhash64(left, right).alias("window"))
+    rows = held.select("key", F.explode("base").alias("e"))  # a row has its own match only, no text
+    rows = rows.select("key", F.concat_ws(":", "e.kind", value).alias("entity"), F.col("e.near").alias("window"))
     return rows.groupBy("key", "entity").agg(F.min("window").alias("window"), F.count(F.lit(1)).alias("times"))
 
 
@@ -150,7 +174,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", di
     """The base spans of all rows, and the further spans of terms.
 
     The first result has the columns of ``docs`` as the struct ``row``, id, text and base: an array of (start, rank, end,
-    kind, value). The second has of, print and more (spans of kind "term", rank 4, the action as value) per text with such
+    kind, value, near). The second has of, print and more (spans of kind "term", rank 4, the action as value) per text with such
     terms, or is None. A term that several entities share is removed if one of them asks for it. Null and empty texts have
     no spans; repeated rows have equal spans.
     """
@@ -165,7 +189,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", di
     wanted = cut(named.join(terms, "entity").groupBy("key", "term").agg(F.max("action").alias("action")))
     more = _occurrences(held, wanted).join(held.select("key", "id", "print", "base"), "key")
     more = more.filter(~F.exists("base", lambda b: (b["start"] < F.col("end")) & (F.col("start") < b["end"])))
-    span = F.struct(F.col("start").alias("start"), F.lit(len(KINDS)).alias("rank"), F.col("end").alias("end"), F.lit("term").alias("kind"), F.col("action").alias("value"))
+    span = F.struct(F.col("start").alias("start"), F.lit(len(KINDS)).alias("rank"), F.col("end").alias("end"), F.lit("term").alias("kind"), F.col("action").alias("value"), F.lit(0).cast("long").alias("near"))
     return rows, cut(more.groupBy(F.col("id").alias("of"), "print").agg(F.collect_set(span).alias("more")))  # spans of one text
 
 
@@ -203,12 +227,18 @@ def sanitise(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
     # Only texts with spans move; terms stand in no others.
     found = found.filter(~some).withColumn("spans", F.col("base")).unionByName(_with_terms(found.filter(some), more))
     name = lambda s: F.coalesce(*[F.when((s["kind"] == k) | (s["value"] == k), F.lit(p)) for k, p in PLACES.items()], F.lit(""))
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    step = lambda a, s: F.struct(
-        F.greatest(a["at"], s["end"]).alias("at"),
-        F.when(s["start"] >= a["at"], F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, s["start"] - a["at"]), name(s))).otherwise(a["out"]).alias("out"),
-    )
-    done = F.aggregate("spans", zero, step, lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.char_length("text"))))
+
+    def apart(a, s):  # of spans that overlap the first one counts
+        piece = F.struct(a["at"].alias("first"), s["start"].alias("last"), name(s).alias("name"))
+        return F.when(s["start"] < a["at"], F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))).otherwise(F.struct(s["end"].alias("at"), F.array_append(a["out"], piece).alias("out")))
+
+    def written(x):  # pieces of an array of letters: a place in a text is found only by counting from its start
+        chars, kept = x["c"], lambda a, b: F.array_join(F.slice(x["c"], a + 1, b - a), "")
+        parts = F.transform(x["p"], lambda p: F.concat(kept(p["first"], p["last"]), p["name"]))
+        return F.concat(F.array_join(parts, ""), kept(F.array_max(F.transform(x["s"], lambda s: s["end"])), F.size(chars)))
+
+    pieces = _fold(F.col("spans"), "struct<first:int,last:int,name:string>", apart)
+    done = _let(F.struct(F.split("text", "").alias("c"), pieces.alias("p"), F.col("spans").alias("s")), written)
     clean = F.when(F.col(f"row.`{text_col}`").isNull(), F.lit(None).cast("string")).when(F.size("spans") == 0, F.col("text")).otherwise(done)
     found = found.withColumn("clean", clean)
     columns = {c: F.col(f"row.`{c}`") for c in docs.columns} | {text_col: F.col("clean")}

@@ -545,6 +545,41 @@ def test_terms_of_two_texts_are_marked_throughout_them(spark):
     assert "term" not in r[10]["spans"] and not any("term" in r[100 + k]["spans"] for k in range(400))
 
 
+def brute_sanitised(text):
+    """Base spans replaced in order; of spans that overlap the first one counts."""
+    at, out = 0, ""
+    for x in filter(None, brute_spans(text).split(",")):
+        kind, a, b = x.split(":")
+        if int(a) >= at:
+            out += text[at : int(a)] + pii.PLACES[kind]
+        at = max(at, int(b))
+    return out + text[at:]
+
+
+def test_sanitised_texts_equal_brute_force(spark):
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("aZ0159.@+- ()é😀"), 80)) for _ in range(200)]
+    texts += ["+1 4111 1111 1111 1111 x 1.2.3.4", "😀 a@b.c 😀 d@e.f😀", "x@y.z", " ".join(f"é{k}@host{k}.org 10.0.{k % 300}.1" for k in range(700))]
+    df = spark.createDataFrame([(k, t, len(t)) for k, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    for r in pii.sanitise(df).collect():
+        assert r["text"] == brute_sanitised(texts[r["doc_id"]]) and r["n_chars"] == len(r["text"])
+    spans = rows_of(pii.pii_report(df))
+    assert all(hashlib.sha256(brute_spans(t).encode()).hexdigest() == spans[k]["base_sha256"] for k, t in enumerate(texts))
+
+
+def test_a_text_full_of_matches_costs_its_length(spark):
+    import time
+
+    took = []
+    for n in (5_000, 40_000):
+        df = spark.createDataFrame([(1, " ".join(f"u{k}@host.org" for k in range(n)), 0)], "doc_id long, text string, n_chars long").cache()
+        df.count()
+        begun = time.time()
+        assert pii.pii_report(df).first()["n_email"] == n and "[EMAIL]" in pii.sanitise(df).first()["text"]
+        took.append(time.time() - begun)
+    assert took[1] < 8 * took[0] + 10
+
+
 def test_sanitised_edges(edge, empty):
     out = pii.sanitise(edge)
     assert out.columns == edge.columns and out.count() == len(EDGE) and pii.sanitise(empty).count() == 0
