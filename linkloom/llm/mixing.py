@@ -87,14 +87,20 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix: each row as often as it is taken, the last time in part.
 
     A part is the text up to the end of its last word taken, white space kept. n_chars is counted anew. Returns the columns of ``docs``.
+    Rows without words are never taken. Rows of one id and size share what is taken of them evenly, by a digest of the row, so
+    repeated rows are exchangeable and reruns agree; rows without an id are of one id. An empty table stays empty.
     """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
     taken = mix_sources(docs, **options).groupBy(F.col(f"`{id_col}`").alias("taken_id"), F.col("size").alias("taken_size")).agg(F.sum("taken").alias("taken"), F.count(F.lit(1)).alias("alike"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(row, F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), n_words(F.col(f"`{text_col}`")).alias("size"))
     rows = rows.join(taken, F.col("id").eqNullSafe(F.col("taken_id")) & (F.col("size") == F.col("taken_size")))
-    # Rows that share id and size share what was taken from them; each gets an even part, and the first words of it.
-    each, none = F.floor(F.col("taken") / F.col("alike")), F.array().cast("array<int>")
+    # Rows that share id and size share what was taken from them: each gets an even part, and the first ones a word more, so none is lost.
+    order = Window.partitionBy("id", "size").orderBy(F.xxhash64("text"), F.to_json("row"))
+    again = rows.filter("alike > 1").withColumn("nth", F.row_number().over(order))
+    rows = rows.filter("alike = 1").withColumn("nth", F.lit(1)).unionByName(again)
+    more = (F.col("nth") <= F.col("taken") % F.col("alike")).cast("long")
+    each, none = F.floor(F.col("taken") / F.col("alike")) + more, F.array().cast("array<int>")
     times = F.when(F.col("size") > 0, F.floor(each / F.col("size"))).otherwise(F.lit(0)).cast("int")
     part = F.when(F.col("size") > 0, each - times * F.col("size")).otherwise(F.lit(0)).cast("int")
     copies = F.concat(F.when(times > 0, F.array_repeat(F.lit(-1), times)).otherwise(none), F.when(part > 0, F.array(part)).otherwise(none))

@@ -109,7 +109,8 @@ def repetition_coverage(
     """Measure repetition in every text and judge it.
 
     Returns the id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, dup_line_chars, dup_chars_<n> for each
-    n-gram length, base_failed and kept. No shuffle: one Arrow pass over id and text.
+    n-gram length (5 to 10 words unless ``covered`` says otherwise; windows of 3 words give n_repeat_words), base_failed and
+    kept. No shuffle: one Arrow pass over id and text. An empty table gives no rows; a very long text is one block of its own.
     """
     limits = dict(COVERED if covered is None else covered)
     lengths = tuple(sorted(limits))

@@ -435,6 +435,80 @@ def test_mixed_documents_hold_what_was_taken(spark, sf, edge, empty):
     assert mixing.mixed_documents(empty).count() == 0
 
 
+def test_rows_of_one_id_share_without_losing_words(spark):
+    rows = [(None if k % 2 else 7, " ".join(f"w{k}x{j}" for j in range(5 + k % 3)), "en", "a" if k % 5 else "b", 9) for k in range(60)]
+    docs = spark.createDataFrame(rows, DOC)
+    for n in (1, 5):
+        mixed = mixing.mixed_documents(docs.repartition(n), share=1.3)
+        words = sum(len(WORD.findall(r["text"])) for r in mixed.collect())
+        assert words == sum(r["taken"] for r in mixing.mix_sources(docs, share=1.3).collect())
+
+
+def slow_passages(text, size):
+    """The features of a text's passages, word by word."""
+    words = [w.encode() for w in WORD.findall(text)]
+    out = []
+    for at in range(0, max(1, len(words)), size):
+        some = words[at : at + size]
+        n, x, seen = max(1, len(some)), [0.0] * quality_mil.FEATURES, set()
+        for k, w in enumerate(some):
+            up, low, dig = (sum(a <= c <= b for c in w) for a, b in ((65, 90), (97, 122), (48, 57)))
+            value = [min(len(w), 40) / 10, up >= 2 and low == 0, any(chr(c) in "#*$%&|<>{}[]=\\^~_@" for c in w), len(w) == 1 and up + low + dig == 0, any(chr(c) in "!?" for c in w), dig > 0,
+                     any(chr(c) in ".,;:" for c in w), k > 0 and some[k - 1] == w, w not in seen, 65 <= w[0] <= 90, sum(c >= 128 for c in w) / len(w)]
+            seen.add(w)
+            for f, v in enumerate(value):
+                x[f] += v / n
+            h = hashed(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0]
+            x[12 + int((h >> np.uint64(7)) % np.uint64(quality_mil.HASHES))] += 1 / n
+        x[11] = math.log1p(len(some)) / 4
+        out.append(x)
+    return out
+
+
+def slow_score(p, bag):
+    """Gated attention over a bag's passages, a unit at a time."""
+    unit = lambda x, w, b, f: [f(sum(xi * w[i][j] for i, xi in enumerate(x)) + b[j]) for j in range(len(b))]
+    h = [unit([(a - m) / s for a, m, s in zip(x, p["mean"], p["scale"])], p["W"], p["w"], math.tanh) for x in bag]
+    gate = lambda z: 1 / (1 + math.exp(-z))
+    e = [math.exp(sum(a * v * u for a, v, u in zip(p["a"], unit(x, p["V"], p["v"], math.tanh), unit(x, p["U"], p["u"], gate)))) for x in h]
+    z = [sum(w * x[j] for w, x in zip(e, h)) / sum(e) for j in range(len(h[0]))]
+    return gate(sum(c * x for c, x in zip(p["c"], z)) + p["b"])
+
+
+def test_quality_scores_equal_a_slow_computation(spark, sf):
+    texts = [r["text"] or "" for r in documents(spark, sf).limit(40).collect()] + ["", "a", "WOW WOW !! #1 übergröße"]
+    model = quality_mil.fit([(t, k % 2) for k, t in enumerate(texts)], steps=15)
+    got = quality_mil.score_quality(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model)
+    for r in got.collect():
+        bag = slow_passages(texts[r["doc_id"]][:6000], quality_mil.PASSAGE) if len(texts[r["doc_id"]]) <= 6000 else None
+        if bag:
+            assert r["score"] == pytest.approx(slow_score(model.p, bag), abs=1e-6)
+
+
+def test_quality_learns_along_the_gradient():
+    """One step of descent moves every parameter against the sign of a numerical derivative of the loss."""
+    texts = [("good plain words here and there. " * (k % 4 + 1), 1) for k in range(6)] + [("JUNK! $$$ 123 " * (k % 5 + 1), 0) for k in range(6)]
+    start, step = quality_mil.fit(texts, steps=0), quality_mil.fit(texts, steps=1, rate=1e-3)
+    got = [quality_mil.passages(b) for b in blocks(pa.array([t for t, _ in texts]))]
+    x, count = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])
+    x, y = (x - start.p["mean"]) / start.p["scale"], np.array([label for _, label in texts])
+
+    def loss(p):
+        s = quality_mil._forward(p, x, count)[0]
+        return -(y * np.log(s) + (1 - y) * np.log(1 - s)).mean() + 5e-5 * (p["W"] ** 2).sum()
+
+    for name in "W V U a c b".split():
+        flat = np.asarray(start.p[name], dtype=float).ravel()
+        for k in range(0, flat.size, max(1, flat.size // 9)):
+            sides = []
+            for d in (1e-5, -1e-5):
+                moved = flat.copy()
+                moved[k] += d
+                sides.append(loss(start.p | {name: moved.reshape(np.shape(start.p[name]))}))
+            slope, moved = (sides[0] - sides[1]) / 2e-5, np.asarray(step.p[name], dtype=float).ravel()[k] - flat[k]
+            assert abs(slope) < 1e-6 or np.sign(moved) == -np.sign(slope), (name, k, slope, moved)
+
+
 def test_packing_is_a_round_trip(spark, sf, edge, empty):
     from tokenizers import Tokenizer
 
