@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .contracts import ContractError
+from .keep import keep
 
 _BITS = 33  # of monotonically_increasing_id, the position in a partition
 
@@ -13,9 +14,11 @@ _BITS = 33  # of monotonically_increasing_id, the position in a partition
 def with_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
     """Adds the row's place in the table's order, from 0: that of the file for a table just read, else that of the last sort.
 
-    Rows are counted by partition first; only these counts, a row per partition, are summed up and sent to all tasks.
+    Rows are counted by partition first; only these counts, a row per partition, are summed up and sent to all tasks. Rows are
+    kept, for counts and rows must come from the same partitions: adaptive execution would sort each on its own, narrow counts
+    into fewer partitions than whole rows.
     """
-    rows = df.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", _BITS))
+    rows = keep(df.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", _BITS)))
     counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     first = F.broadcast(counts.select("_part", before.alias("_first")))

@@ -229,6 +229,21 @@ def test_ordinals_accounts_and_shards(spark, tmp_path):
         tables.finalize_shards(spark, path, 2)
 
 
+def test_ordinals_of_many_partitions(spark):
+    """Partitions of a sorted table differ by what is read of it: places must not."""
+    before = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")}
+    for c, v in zip(before, ("32", "64k", "16k"), strict=True):
+        spark.conf.set(c, v)
+    try:
+        rows = spark.range(20_000).select(F.format_string("S1-%05d", "id").alias("entity_id"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 3).alias("x"))
+        placed = ordinal.with_ordinal(rows.orderBy("entity_id"))
+        assert [(r["entity_id"], r["ordinal"]) for r in placed.select("entity_id", "ordinal").orderBy("entity_id").collect()] == [(f"S1-{k:05}", k) for k in range(20_000)]
+        assert {r["x"] is None for r in placed.collect()} == {False} and len(placed.collect()) == 20_000
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+
+
 def test_cross_fit(spark):
     rows = [(f"q{k % 40}", f"t{k}", k % 12 + 1, k % 5, (k // 5) % 5, float(k % 7) + (k % 3 == 0) * 5, int(k % 3 == 0)) for k in range(400)]
     pairs = spark.createDataFrame(rows, "source1_id string, target_id string, candidate_rank int, fold int, rid_fold int, x double, label int")
