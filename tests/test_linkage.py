@@ -182,6 +182,24 @@ def test_one_pass_over_hits_equals_every_view_alone(spark):
     assert found.keys() == want.keys() and all(found[k] == pytest.approx(want[k], abs=2e-5) for k in want)
 
 
+def test_tiles_give_what_an_index_gives(spark, sf, monkeypatch):
+    """Records searched in many small tiles, against the search of an index; and whole runs make no row of a hit."""
+    from linkloom.plans import catalogue, registry
+
+    s1, s2, s3 = (ranked.record_fields(x) for x in registry.sources(spark, sf))
+    rows = lambda df: {(r["target_id"], r["view"], r["view_rank"], r["rid"], round(r["score"], 5)) for r in df.collect()}
+    want = rows(ranked.search(s2, ranked.index(s1, list(ranked.VIEWS["joint"]))))
+    for size, least in (((7, 5), 3), ((65_536, 32_768), 4)):
+        for name, value in zip(("TILE_REFERENCES", "TILE_TARGETS", "LEAST_TILES"), (*size, least), strict=True):
+            monkeypatch.setattr(ranked, name, value)
+        got = rows(ranked.search_records(s2, s1))
+        assert {x[:4] for x in got} == {x[:4] for x in want} and len(got) == len(want)
+    assert ranked.search_records(s2.limit(0), s1).count() == 0 == ranked.search_records(s2, s1.limit(0)).count()
+    for name in ("bm25_views_topk", "rrf_fuse", "retrieval_audit"):
+        plan = catalogue.QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" in plan and "Join Inner, (((country" not in plan
+
+
 def test_retrieval_audit(spark, tmp_path):
     from linkloom.operators import folds
 
