@@ -275,6 +275,25 @@ def test_cross_fit(spark):
         model.cross_fit(pairs.filter("fold <> 2"), ["x"], maxIter=1, maxDepth=1)
 
 
+def test_folds_are_fitted_at_the_same_time(spark, monkeypatch):
+    """Each fit waits for the others; models are those of fits one by one."""
+    from threading import Barrier
+
+    rows = [(k % 12 + 1, k % 2, (k // 2) % 3, float(k % 7) + (k % 5 == 0) * 5, int(k % 5 == 0)) for k in range(120)]
+    pairs = spark.createDataFrame(rows, "candidate_rank int, fold int, rid_fold int, x double, label int")
+    fit, together = model.fit, Barrier(2, timeout=60)
+
+    def waiting(*args, **kw):
+        together.wait()
+        return fit(*args, **kw)
+
+    monkeypatch.setattr(model, "fit", waiting)
+    got = model.cross_fit(pairs, ["x"], 2, maxIter=2, maxDepth=1, minInstancesPerNode=1)
+    own = pairs.withColumn("_held", F.col("fold") == 1).filter("_held or (rid_fold <> 1 and candidate_rank <= 8)")
+    alone = fit(own, ["x"], validation="_held", maxIter=2, maxDepth=1, minInstancesPerNode=1)
+    assert got.models[1].toDebugString.split("\n")[1:] == alone.toDebugString.split("\n")[1:]
+
+
 def test_model_is_saved(spark, tmp_path):
     pairs = spark.createDataFrame([(float(k), k % 2) for k in range(20)], "x double, label int")
     fitted = model.fit(pairs, ["x"], maxIter=2, maxDepth=2, minInstancesPerNode=1)
