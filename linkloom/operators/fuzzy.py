@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,6 +100,127 @@ def _best_part(a: str, b: str) -> float:
 
 
 _RATIOS = {"ratio": ratio, "token_sort": token_sort, "token_set": token_set, "partial": partial}
+#: Letters that are compared at once, about: pairs of similar lengths go side by side.
+_CELLS = 1 << 16
+
+
+def _gains(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each place j of ``b``: a part of ``b`` that ends after j shares one letter more with ``a`` than without j if it starts at or after this.
+
+    A column is a pair, a row a place. The recurrence over all places of both goes along diagonals, whose cells don't depend on each other.
+    """
+    (m, pairs), n = a.shape, len(b)
+    kind = np.uint8 if n < 255 else np.uint16 if n < 65535 else np.uint32
+    turned, none = np.ascontiguousarray(b[::-1]), np.iinfo(kind).max
+    starts, rows = np.repeat(np.arange(n, 0, -1, dtype=kind)[:, None], pairs, axis=1), np.zeros((m, pairs), kind)
+    unlike, x, y = np.empty((min(m, n), pairs), bool), *np.empty((2, min(m, n), pairs), kind)
+    for d in range(m + n - 1):
+        lo, hi = max(0, d - n + 1), min(m - 1, d) + 1
+        own, v, h, size = slice(n - 1 - d + lo, n - 1 - d + hi), rows[lo:hi], starts[n - 1 - d + lo : n - 1 - d + hi], hi - lo
+        u, p, q = unlike[:size], x[:size], y[:size]
+        np.not_equal(a[lo:hi], turned[own], out=u)
+        np.multiply(u.view(np.uint8) if kind is np.uint8 else u, kind(none), out=p)
+        np.bitwise_not(p, out=q)
+        np.bitwise_or(q, v, out=q)  # where letters are equal, the two strands change places
+        np.bitwise_and(p, h, out=p)
+        np.maximum(v, p, out=p)
+        np.minimum(h, q, out=v)
+        h[:] = p
+    return starts[::-1]
+
+
+def _best_parts(starts: np.ndarray, m: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """:func:`_best_part` of each pair, of these lengths, from its gains."""
+    width, pairs = starts.shape
+    at, place = np.arange(width)[:, None], np.arange(pairs)
+    first = np.cumsum(starts == 0, axis=0)  # letters that b's first places share with a
+    ends = at + 1
+    best = np.where(ends <= m, 2 * first / (m + ends), 0.0).max(axis=0)
+    # A part that moves on gains by the place that comes in, and by the one place whose gain begins where the part does.
+    where = np.full((width + 1, pairs), width, np.int32)
+    where[starts, place] = at
+    ends = at + m
+    comes = (np.take_along_axis(starts, np.minimum(ends, width - 1), axis=0) <= ends - m + 1) & (ends < n)
+    begins = where[1:] < np.minimum(ends, n)
+    found = first[np.minimum(m, n) - 1, place] + np.cumsum(comes.astype(np.int32) + begins, axis=0)
+    ahead = at + 1  # where parts start
+    size = np.minimum(ahead + m, n) - ahead
+    return np.maximum(best, np.where(size > 0, 2 * (found - ahead) / (m + np.maximum(size, 0)), 0.0).max(axis=0))
+
+
+def _letters(texts: list[str], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All letters of the texts as small numbers, 2 at least, and where each text begins."""
+    every = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    if len(every) and every.max() > 253:
+        every = np.unique(every, return_inverse=True)[1].astype(np.uint32)
+    every = every + np.uint32(2)
+    return every.astype(np.uint8) if not len(every) or every.max() < 256 else every, np.cumsum(lengths) - lengths
+
+
+def compared(a: list[str], b: list[str], parts: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+    """:func:`common_subsequence` of many pairs, and where asked for their :func:`partial`."""
+    shorter, longer = [x if len(x) <= len(y) else y for x, y in zip(a, b, strict=True)], [y if len(x) <= len(y) else x for x, y in zip(a, b, strict=True)]
+    m, n = (np.fromiter(map(len, x), np.int64, len(x)) for x in (shorter, longer))
+    common, best = np.zeros(len(a), np.int64), np.zeros(len(a)) if parts else None
+    letters, begins = _letters([*shorter, *longer], np.concatenate([m, n]))
+    order = np.lexsort((m, n))
+    order, k = order[m[order] > 0], 0
+    while k < len(order):
+        take = order[k : k + max(1, _CELLS // int(n[order[min(k + 64, len(order) - 1)]]))]
+        k += len(take)
+
+        def block(at, lengths, none):
+            inside = np.arange(lengths.max())[:, None]
+            return np.where(inside < lengths, letters[np.minimum(begins[at] + inside, len(letters) - 1)], letters.dtype.type(none))
+
+        sides = block(take, m[take], 0), block(take + len(a), n[take], 1)
+        starts = _gains(*sides)
+        common[take] = ((starts == 0) & (np.arange(len(starts))[:, None] < n[take])).sum(axis=0)
+        if parts:
+            best[take] = _best_parts(starts, m[take], n[take])
+            same = np.flatnonzero(m[take] == n[take])
+            if len(same):
+                turned = _gains(np.ascontiguousarray(sides[1][:, same]), np.ascontiguousarray(sides[0][:, same]))
+                best[take[same]] = np.maximum(best[take[same]], _best_parts(turned, m[take][same], n[take][same]))
+    return common, best
+
+
+def _ratios(common: np.ndarray, a: list[str], b: list[str]) -> np.ndarray:
+    total = np.fromiter((len(x) + len(y) for x, y in zip(a, b, strict=True)), np.int64, len(a))
+    return 2 * common / np.maximum(total, 1)
+
+
+def similarities(a: list[str], b: list[str], names: list[str]) -> dict[str, np.ndarray]:
+    """:func:`ratio`, :func:`token_sort`, :func:`token_set` and :func:`partial` of many pairs, those named."""
+    out = {}
+    if "ratio" in names or "partial" in names:
+        common, out["partial"] = compared(a, b, "partial" in names)
+        out["ratio"] = _ratios(common, a, b)
+    if "token_sort" in names:
+        ordered = {t: " ".join(sorted(t.split())) for t in {*a, *b}}
+        x, y = ([ordered[t] for t in side] for side in (a, b))
+        out["token_sort"] = _ratios(compared(x, y)[0], x, y)
+    if "token_set" in names:
+        words = {t: set(t.split()) for t in {*a, *b}}
+        score, left = np.zeros(len(a)), []
+        for k, (s, t) in enumerate(zip(a, b, strict=True)):
+            x, y = words[s], words[t]
+            if x and y:
+                both = x & y
+                if both and (len(both) == len(x) or len(both) == len(y)):
+                    score[k] = 1.0
+                else:
+                    left.append((k, " ".join(sorted(x - y)), " ".join(sorted(y - x)), sum(map(len, both)) + max(len(both) - 1, 0)))
+        if left:
+            at, p, q, shared = (list(x) for x in zip(*left, strict=True))
+            shared, lengths = np.array(shared), [np.array([len(z) for z in side]) for side in (p, q)]
+            lead, total = shared + (shared > 0), lengths[0] + lengths[1]
+            best = 1 - (total - 2 * compared(p, q)[0]) / (2 * lead + total)
+            for z in lengths:
+                best = np.where(shared > 0, np.maximum(best, 1 - (1 + z) / (shared + lead + z)), best)
+            score[at] = best
+        out["token_set"] = score
+    return {n: out[n] for n in names}
 
 
 def fuzzy_ratios(a, b, *which: str):
@@ -107,8 +229,7 @@ def fuzzy_ratios(a, b, *which: str):
 
     @F.pandas_udf(", ".join(f"{n} double" for n in names))
     def of(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-        both = list(zip(a.fillna(""), b.fillna(""), strict=True))
-        return pd.DataFrame({n: [_RATIOS[n](x, y) for x, y in both] for n in names}, dtype="float64")
+        return pd.DataFrame(similarities(a.fillna("").tolist(), b.fillna("").tolist(), names), dtype="float64")
 
     return of(a, b)
 

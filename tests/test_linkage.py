@@ -144,6 +144,25 @@ def test_fuzzy_ratios():
     assert fuzzy.token_set("p q", "r s") == pytest.approx(1 / 3) and fuzzy.partial("heron", "the heron inn") == 1.0
 
 
+def test_ratios_of_many_pairs_side_by_side(monkeypatch):
+    """A batch gives what pairs alone give, exactly, and compares no pair alone."""
+    import random
+
+    r = random.Random(7)
+    kinds = [("abc d", 14, 200), ("ab", 9, 200), ("aé語 \U0001f600", 20, 100), ("ab c", 300, 10), ("", 0, 3)]
+    a, b = ([k for letters, most, n in kinds for k in ("".join(r.choices(letters, k=r.randint(0, most))) if most else "" for _ in range(n))] for _ in range(2))
+    want = {n: [f(x, y) for x, y in zip(a, b, strict=True)] for n, f in fuzzy._RATIOS.items()}
+
+    def alone(*_):
+        raise AssertionError("a pair alone")
+
+    for name in ("common_subsequence", "ratio", "partial", "_best_part"):
+        monkeypatch.setattr(fuzzy, name, alone)
+    got = fuzzy.similarities(a, b, list(want))
+    assert {n: got[n].tolist() for n in want} == want
+    assert all(len(x) == 0 for x in fuzzy.similarities([], [], list(want)).values())
+
+
 PLACES = "entity_id string, business_name string, business_address string, country string"
 
 
