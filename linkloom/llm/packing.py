@@ -10,6 +10,9 @@ are held, and a lost executor's tasks are simply run again with the same result.
 from __future__ import annotations
 
 import base64
+import functools
+import gc
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -33,7 +36,7 @@ _encoders: dict[str, object] = {}
 
 
 def encoder(folder: str | None = None, name: str = VOCABULARY):
-    """A function from texts to lists of ids; loaded once a worker.
+    """A function from texts to lists of ids; loaded once, until :func:`forget_encoders`, and the slower one when a text first needs it.
 
     The ids are those of ``<name>.json`` in the ``tokenizers`` library as it loads, special strings in a text included:
     they become their own ids. The same vocabulary is kept as ranks, from which ``tiktoken`` makes the same ids in a fifth
@@ -43,30 +46,41 @@ def encoder(folder: str | None = None, name: str = VOCABULARY):
 
     import public_tokenizers
     import tiktoken
-    from tokenizers import Tokenizer
 
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     at = (lambda f: os.path.join(folder, f)) if folder else public_tokenizers.path
     key = f"{folder}/{name}"
     if key not in _encoders:
         with open(at(f"{name}.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        slow = Tokenizer.from_file(at(f"{name}.json"))
-        special = {t.content: k for k, t in slow.get_added_tokens_decoder().items()}
+        with open(at(f"{name}.json"), encoding="utf-8") as f:
+            special = {t["content"]: t["id"] for t in json.load(f).get("added_tokens", [])}
         fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
+        @functools.cache
+        def slow():
+            from tokenizers import Tokenizer
+
+            os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+            return Tokenizer.from_file(at(f"{name}.json"))
+
         def encode(text: str) -> list[int]:
             if not LONG_RUN.search(text):
                 try:
                     return fast.encode(text, allowed_special="all")
                 except ValueError:  # the pattern engine gave up
                     pass
-            return slow.encode(text, add_special_tokens=False).ids
+            return slow().encode(text, add_special_tokens=False).ids
 
         _encoders[key] = encode
     return _encoders[key]
 
 
+def forget_encoders() -> None:
+    """Let loaded vocabularies go: workers outlive their tasks, and other stages' tasks run in them."""
+    _encoders.clear()
+    gc.collect()
+
+
 class Capacities:
     """Open windows by remaining capacity: a segment tree whose nodes count the windows below them."""
 
@@ -166,5 +180,12 @@ def pack(
 
     kind = docs.schema[id_col].dataType.simpleString()
     docs = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    out = map_arrow(docs, run, f"id {kind}, " + ", ".join(f"`{c}` long" for c in names[1:]))
+
+    def packed_and_left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            forget_encoders()
+
+    out = map_arrow(docs, packed_and_left, f"id {kind}, " + ", ".join(f"`{c}` long" for c in names[1:]))
     return out.withColumnRenamed("id", id_col)

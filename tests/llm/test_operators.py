@@ -541,6 +541,17 @@ def test_encoder_agrees_with_tokenizers_on_hard_texts():
         assert encode(t) == slow.encode(t, add_special_tokens=False).ids
 
 
+def test_workers_keep_no_vocabulary_after_packing(spark):
+    docs = spark.createDataFrame([(k, f"text {k}" + " " * 250 * (k % 2)) for k in range(16)], "doc_id long, text string").repartition(4)
+    assert packing.pack(docs).count() == 16
+
+    def held(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(packing._encoders)] * b.num_rows, pa.int64())], names=["n"])
+
+    assert spark.range(0, 64, 1, 8).mapInArrow(held, "n long").agg({"n": "max"}).first()[0] == 0
+
+
 def test_best_fit_takes_the_tightest_window():
     to, offset, n = packing.best_fit(np.array([6, 5, 4, 3, 2]), 10)
     assert n == 2 and to.tolist() == [0, 1, 0, 1, 1] and offset.tolist() == [0, 0, 6, 5, 8]
