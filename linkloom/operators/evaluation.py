@@ -134,13 +134,22 @@ def target_cells(references: DataFrame, scored: DataFrame, edges: DataFrame, by:
     ``scored`` has target_id, candidate_rank within the target, source1_id, the score and label.
     """
     spark = scored.sparkSession
-    order = Window.partitionBy("cap", "target_id").orderBy(F.desc("p"), "candidate_rank")
-    best = scored.select("target_id", "source1_id", "candidate_rank", F.col(score).alias("p"), "label").join(_grid(spark, cap=list(caps)), F.col("candidate_rank") <= F.col("cap"))
-    best = best.withColumn("k", F.row_number().over(order)).filter("k = 1")
-    counts = best.join(_grid(spark, threshold=list(map(float, thresholds))), F.col("p") >= F.col("threshold")).groupBy("cap", "threshold", "source1_id").agg(F.sum("label").alias("tp"), F.count(F.lit(1)).alias("predicted"))
+    levels, rank = sorted({*map(float, thresholds)}), F.col("candidate_rank")
+    own = F.struct(F.col(score).alias("p"), (-rank).alias("rank"), "source1_id", "label")
+    best = scored.groupBy("target_id").agg(*[F.max(F.when(rank <= c, own)).alias(f"b{k}") for k, c in enumerate(caps)])
+    best = best.select(F.explode(F.array(*[F.struct(F.lit(c).alias("cap"), F.col(f"b{k}").alias("b")) for k, c in enumerate(caps)])).alias("x"))
+    # A row has the number of thresholds that it reaches: rows are counted by that, and thresholds told apart where a query's counts are together.
+    settings = F.array(*map(F.lit, levels))
+    best = best.select("x.cap", "x.b.source1_id", "x.b.label", F.size(F.filter(settings, lambda t: F.col("x.b.p") >= t)).alias("level")).filter("level > 0")
+    counts = best.groupBy("cap", "source1_id", "level").agg(F.sum("label").alias("tp"), F.count(F.lit(1)).alias("predicted"))
+    counts = counts.groupBy("cap", "source1_id").agg(F.collect_list(F.struct("level", "tp", "predicted")).alias("at"))
     truth = truth_counts(references, edges).join(references.select(F.col("entity_id").alias("source1_id"), *by).dropDuplicates(["source1_id"]), "source1_id")
     nothing = f_half(F.lit(0), F.lit(0), F.col("truth_count"))
-    per = counts.join(truth, "source1_id").withColumn("gain", f_half(F.col("tp"), F.col("predicted"), F.col("truth_count")) - nothing)
+    reached = F.explode(F.sequence(F.lit(1), F.array_max(F.transform("at", lambda x: x["level"]))))
+    per = counts.join(truth, "source1_id").withColumn("level", reached)
+    total = lambda c: F.aggregate("at", F.lit(0).cast("long"), lambda n, x: n + F.when(x["level"] >= F.col("level"), x[c]).otherwise(0)).alias(c)
+    per = per.select("cap", F.element_at(settings, F.col("level")).alias("threshold"), *by, "truth_count", total("tp"), total("predicted"))
+    per = per.withColumn("gain", f_half(F.col("tp"), F.col("predicted"), F.col("truth_count")) - nothing)
     sums = per.groupBy("cap", "threshold", *by).agg(F.sum("gain").alias("gain"), F.sum("tp").alias("tp"), F.sum("predicted").alias("predicted"))
     groups = truth.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(nothing).alias("empty"), F.count_if(F.col("truth_count") > 0).alias("with_truth"))
     out = _grid(spark, cap=list(caps), threshold=list(map(float, thresholds))).join(F.broadcast(groups), F.lit(True))  # a row per group

@@ -64,6 +64,37 @@ def test_target_audit(spark):
     assert recall[1] == pytest.approx(2 / 3) and recall[2] == 1.0
 
 
+def test_target_cells_count_before_they_are_dealt_by_threshold(spark):
+    import random
+    from fractions import Fraction
+
+    r, caps, thresholds = random.Random(4), [1, 2, 4], [0.7, 0.2, 0.5]
+    refs = [(f"q{k}", "xy"[k % 2]) for k in range(9)]
+    rows = [(f"q{q}", f"t{t}", k + 1, r.choice([0.1, 0.2, 0.5, 0.6, 0.9]), int(r.random() < 0.4)) for t in range(40) for k, q in enumerate(r.sample(range(9), r.randint(1, 5)))]
+    edges = sorted({(q, t) for q, t, _, _, label in rows if label} | {("q1", "t99")})
+    scored = spark.createDataFrame(rows, "source1_id string, target_id string, candidate_rank int, probability double, label int")
+    cells = evaluation.target_cells(spark.createDataFrame(refs, "entity_id string, country string"), scored, spark.createDataFrame(edges, "source1_id string, target_id string"), ["country"], caps, thresholds)
+    plan = cells._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("Join Cross") + plan.count("Join Inner, true") + plan.count("Join Inner\n") <= 1 and "candidate_rank <= cap" not in plan  # no pair meets each setting
+    got = {(x["cap"], x["threshold"], x["country"]): (x["n"], round(x["f"], 9), x["tp"], x["predicted"], x["with_truth"]) for x in cells.collect()}
+    want = {}
+    for cap in caps:
+        best = {}
+        for q, t, rank, p, label in rows:
+            if rank <= cap:
+                best[t] = min(best.get(t, (9,)), (-p, rank, q, label))
+        for limit in thresholds:
+            for country in "xy":
+                f, tp, predicted, some, own = Fraction(0), 0, 0, 0, [q for q, c in refs if c == country]
+                for q in own:
+                    won = [b[3] for b in best.values() if b[2] == q and -b[0] >= limit]
+                    known = sum(e[0] == q for e in edges)
+                    f += 1 if not won and not known else Fraction(5 * sum(won), 4 * len(won) + known) if won and known else 0
+                    tp, predicted, some = tp + sum(won), predicted + len(won), some + (known > 0)
+                want[cap, limit, country] = (len(own), round(float(f), 9), tp, predicted, some)
+    assert got == want
+
+
 def brute_rule(f):
     """The rules as a table of conditions, on one pair's features."""
     big = lambda c: max(f[c], f["roman_" + c])
