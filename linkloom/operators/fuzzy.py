@@ -259,20 +259,19 @@ def wide_features(pairs: DataFrame, targets: DataFrame, references: DataFrame) -
     also target_source.
     """
     views = ["raw_name", "name", "roman_name", "raw_address", "address", "roman_address"]
-    # Terms are found once a record, not once a pair.
-
-    def made_of(side: str) -> list[Column]:
-        grams = [T.trigrams(F.col(c)).alias(f"{side}_grams_{c}") for c in ("name", "address", "roman_name", "roman_address")]
-        words = [F.array_distinct(T.tokens(F.col(c))).alias(f"{side}_words_{c}") for c in ("name", "address")]
-        return [*[F.col(c).alias(f"{side}_{c}") for c in views], *grams, *words]
-
-    t = targets.select(F.col("entity_id").alias("target_id"), "country", "target_source", *made_of("t"))
-    r = references.select(F.col("entity_id").alias("rid"), *made_of("r"))
+    own = lambda side: [F.col(c).alias(f"{side}_{c}") for c in views]
+    t = targets.select(F.col("entity_id").alias("target_id"), "country", "target_source", *own("t"))
+    r = references.select(F.col("entity_id").alias("rid"), *own("r"))
     df = pairs.join(t, "target_id").join(r, "rid")
     c, both = F.col, (lambda v: (F.col(f"t_{v}"), F.col(f"r_{v}")))
     wanted = {"raw_name": ["ratio"], "name": [], "roman_name": ["ratio", "token_set"], "address": ["ratio", "token_sort", "token_set"], "roman_address": ["ratio"]}
     for v, which in wanted.items():
         df = df.withColumn(f"f_{v}", fuzzy_ratios(*both(v), *which))
+    # Terms are found when a pair's records are together: they are many times as large as the texts, which is what joins and workers pass on.
+    grams_of, words_of = T.trigrams, lambda c: F.array_distinct(T.tokens(c))
+    df = df.withColumns({f"{side}_{kind}_{v}": make(F.col(f"{side}_{v}")) for side in "tr" for v in ("name", "address") for kind, make in (("grams", grams_of), ("words", words_of))})
+    same = lambda side, v: F.when(F.col(f"{side}_roman_{v}") == F.col(f"{side}_{v}"), F.col(f"{side}_grams_{v}")).otherwise(grams_of(F.col(f"{side}_roman_{v}")))
+    df = df.withColumns({f"{side}_grams_roman_{v}": same(side, v) for side in "tr" for v in ("name", "address")})
     grams = {v: _overlap(*both(f"grams_{v}")) for v in ("name", "address", "roman_name", "roman_address")}
     words = {v: _overlap(*both(f"words_{v}")) for v in ("name", "address")}
     nums = [F.regexp_extract_all(x, F.lit("(?U)(\\d+)"), F.lit(1)) for x in both("raw_address")]

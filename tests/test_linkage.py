@@ -215,6 +215,24 @@ def test_ranked_retrieval(spark):
     assert wide.columns[4:] == fuzzy.FEATURES and wide.filter("target_id = 'S2-a' and rid = 'S1-a'").first()["address_exact"] == 1.0
 
 
+def test_wide_features_pass_on_texts_not_terms(spark):
+    refs, targets = _registers(spark)
+    fused = ranked.fuse(ranked.search_records(ranked.record_fields(targets), ranked.record_fields(refs)))
+    auto = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wide = linkage.wide_pairs(fused, refs, targets.filter("entity_id = 'S2-a'"), targets.filter("entity_id = 'S2-c'"))
+        stack, passed = [wide._jdf.queryExecution().sparkPlan()], []
+        while stack:
+            node = stack.pop()
+            stack += [node.children().apply(k) for k in range(node.children().size())]
+            if "Join" in node.nodeName() or "EvalPython" in node.nodeName():
+                passed.append(node.schema().simpleString())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", auto)
+    assert len(passed) >= 3 and not any("grams_" in x or "words_" in x for x in passed)
+
+
 def test_one_pass_over_hits_equals_every_view_alone(spark):
     """Scores of views that share fields, against sums term by term."""
     refs, targets = (ranked.record_fields(x) for x in _registers(spark))
