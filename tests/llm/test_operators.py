@@ -355,6 +355,18 @@ def test_a_passage_that_all_texts_share_gives_pairs_in_proportion(spark):
     assert 125 <= few and many <= 5 * few <= 5 * 2500
 
 
+def test_copies_in_many_tasks_give_one_class_of_branches(spark):
+    """Exact copies far apart: branches are made from the document that speaks for its class, not in every task."""
+    words = [f"w{k}" for k in range(60)]
+    rows = [(100 * copy + k, " ".join(words[k : k + 20])) for copy in range(8) for k in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(8, "doc_id")
+    tree = jaccard_join._Tree(docs, "doc_id", "text", 5, 3, 4)
+    made = jaccard_join._branches(tree.docs, tree.speakers, tree.order, 5, 3, 4)
+    assert made.count() == made.distinct().count() and made.select("cls").distinct().count() == 5
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_components(docs).collect()}
+    assert got == brute_components(brute_sets(dict(rows)))
+
+
 def test_branches_that_nobody_knew_to_be_heavy_go_last(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "SEEN", 10**9)  # no n-gram is told
     texts = one_passage(200, own=40, shared=20)
